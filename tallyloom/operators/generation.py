@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from functools import reduce
 from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from ..functions.bands import format_predictions
 from ..functions.randomness import uniform
@@ -16,6 +18,8 @@ from .ngrams import END, fit_context
 if TYPE_CHECKING:
     from .ngrams import FittedNGramModel
 
+Lookup = Callable[[DataFrame, DataFrame], DataFrame]
+
 # Prompt lengths, number of candidates, and tokens that end a completion.
 MIN_CONTEXT, MAX_CONTEXT = 3, 10
 TOP_CANDIDATES = 5
@@ -61,37 +65,46 @@ def backoff_tries(context: Column, n: int) -> Column:
     return F.transform(levels, at)
 
 
+def _backoff(row_id: str, columns: Sequence[str], context: Column, n: int) -> Lookup:
+    """N7 as a function of (prompts, candidates) whose expressions are built only once."""
+    level_of = F.when(F.col("candidates").isNotNull(), F.col("level"))
+    exploded = [
+        F.col(row_id),
+        F.struct(*columns).alias("__prompt"),
+        F.posexplode_outer(backoff_tries(context, n)).alias("__at", "__try"),
+    ]
+    tries = [
+        F.col(row_id),
+        F.when(F.coalesce("__at", F.lit(0)) == 0, F.col("__prompt")).alias("__prompt"),
+        F.col("__try.level").alias("level"),
+        F.col("__try.ctx").alias("ctx"),
+    ]
+    winner = [
+        F.first("__prompt", ignorenulls=True).alias("__prompt"),
+        F.min(level_of).alias("level"),
+        F.min_by("candidates", level_of).alias("candidates"),
+    ]
+    result = [F.col(row_id), F.col("__prompt.*"), F.col("level"), F.col("candidates")]
+
+    def look_up(prompts: DataFrame, candidates: DataFrame) -> DataFrame:
+        found = prompts.select(*exploded).select(*tries).join(candidates, "ctx", "left")
+        return found.groupBy(row_id).agg(*winner).select(*result)
+
+    return look_up
+
+
 def backoff_candidates(
     prompts: DataFrame, candidates: DataFrame, n: int, row_id: str = "row_ord", context: str = "context"
 ) -> DataFrame:
     """Add the ``level`` and ``candidates`` of the first try that was seen in training.
 
-    One row per try is joined; the prompt's own columns travel with its first try only and
-    come together again when the lowest level is picked.
+    ``candidates`` is a table (ctx, candidates) of a model of size ``n``.  One row per try
+    is joined; the prompt's own columns travel with its first try only and come together
+    again when the lowest level is picked.
     """
     columns = [c for c in prompts.columns if c != row_id]
-    tries = prompts.select(
-        row_id,
-        F.struct(*columns).alias("__prompt"),
-        F.posexplode_outer(backoff_tries(F.col(context), n)).alias("__at", "__try"),
-    ).select(
-        row_id,
-        F.when(F.coalesce("__at", F.lit(0)) == 0, F.col("__prompt")).alias("__prompt"),
-        F.lit(n).alias("n"),
-        F.col("__try.level").alias("level"),
-        F.col("__try.ctx").alias("ctx"),
-    )
-    found = tries.join(candidates, ["n", "ctx"], "left")
-    level = F.when(F.col("candidates").isNotNull(), F.col("level"))
-    return (
-        found.groupBy(row_id)
-        .agg(
-            F.first("__prompt", ignorenulls=True).alias("__prompt"),
-            F.min(level).alias("level"),
-            F.min_by("candidates", level).alias("candidates"),
-        )
-        .select(row_id, "__prompt.*", "level", "candidates")
-    )
+    look_up = _backoff(row_id, columns, F.col(context), n)
+    return look_up(prompts, candidates.select("ctx", "candidates"))
 
 
 def sample_next(candidates: Column, draw: Column) -> Column:
@@ -109,29 +122,32 @@ def sample_next(candidates: Column, draw: Column) -> Column:
     return F.when((F.size(candidates) > 0) & (everything > 0), chosen)
 
 
-def _step(state: DataFrame, candidates: DataFrame, n: int, seed: int, row_id: str, number: int) -> DataFrame:
+def _stepper(n: int, seed: int, row_id: str) -> Lookup:
     """One token for every prompt that is still being completed."""
     waiting = F.when(F.col("active"), F.col("context")).otherwise(F.array().cast("array<string>"))
-    looked_up = backoff_candidates(
-        state.withColumn("__lookup", waiting), candidates, n, row_id, "__lookup"
-    ).drop("__lookup", "level")
+    look_up = _backoff(row_id, ["context", "generated", "steps", "active"], waiting, n)
     offered = F.col("active") & F.col("candidates").isNotNull()
-    token = sample_next(F.col("candidates"), uniform(f"{seed}:step:{number}", F.col(row_id)))
-    drawn = looked_up.withColumn("__token", F.when(offered, token))
-    got, new = F.col("__token").isNotNull(), F.array("__token")
-    emitted = got & (F.col("__token") != END)
+    # The number of candidate lists so far is the number of the step.
+    draw = uniform(f"{seed}:step", F.size("steps"), F.col(row_id))
+    token = F.when(offered, sample_next(F.col("candidates"), draw)).alias("__token")
+    emitted = F.col("__token").isNotNull() & (F.col("__token") != END)
     goes_on = emitted & ~F.col("__token").isin(*STOP_TOKENS)
+    new = F.array("__token")
     longer = F.concat("context", new)
     shortened = F.slice(longer, F.greatest(F.size(longer) - (n - 2), F.lit(1)), n - 1) if n > 1 else longer
     listed = F.transform("candidates", lambda c: F.struct(c["token"].alias("token"), c["prob"].alias("prob")))
-    return drawn.select(
-        row_id,
-        *[c for c in state.columns if c not in (row_id, "context", "generated", "steps", "active")],
+    updated = [
+        F.col(row_id),
         F.when(goes_on, shortened).otherwise(F.col("context")).alias("context"),
         F.when(emitted, F.concat("generated", new)).otherwise(F.col("generated")).alias("generated"),
         F.when(offered, F.concat("steps", F.array(listed))).otherwise(F.col("steps")).alias("steps"),
         goes_on.alias("active"),
-    )
+    ]
+
+    def step(state: DataFrame, candidates: DataFrame) -> DataFrame:
+        return look_up(state, candidates).select("*", token).select(*updated)
+
+    return step
 
 
 def complete(
@@ -141,11 +157,13 @@ def complete(
     """Sample a continuation of every prompt, one token per step for all of them.
 
     Adds ``completion`` (tokens) and ``steps`` (the candidates offered at each step).  The
-    candidate table is written once, partitioned by context; each step moves only the
-    prompts still open to it.  Every few steps the state is written and finished prompts
-    are set aside.
+    candidate table is laid out by context once and merged with as it lies: each step moves
+    only the prompts still open.  Every few steps the state is written, which ends its
+    lineage, and finished prompts are set aside.  A lost part of the cached candidates is
+    laid out again from the counts, which are in the checkpoint folder.
     """
-    candidates = materialize(model.candidates(TOP_CANDIDATES))
+    by_context = model.candidates(TOP_CANDIDATES).select("ctx", "candidates").repartition("ctx")
+    candidates = by_context.sortWithinPartitions("ctx").persist(StorageLevel.MEMORY_AND_DISK)
     no_steps = F.array().cast("array<array<struct<token:string,prob:double>>>")
     state = prompts.select(
         row_id,
@@ -155,15 +173,17 @@ def complete(
         F.lit(True).alias("active"),
     )
     finished: list[DataFrame] = []
+    step, laid_out = _stepper(model.n, seed, row_id), candidates.hint("merge")
     for number in range(max_length):
-        state = _step(state, candidates, model.n, seed, row_id, number)
+        state = step(state, laid_out)
         if (number + 1) % STEPS_PER_WRITE == 0 and number + 1 < max_length:
             state = materialize(state)
             finished.append(state.where(~F.col("active")))
             state = state.where("active")
             if state.isEmpty():
                 break
-    completed = reduce(DataFrame.unionByName, finished, state)
+    completed = materialize(reduce(DataFrame.unionByName, finished, state))
+    candidates.unpersist()
     return prompts.join(
         completed.select(row_id, F.col("generated").alias("completion"), "steps"), row_id, "left"
     )

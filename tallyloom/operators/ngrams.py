@@ -172,7 +172,8 @@ class NGramModel:
         order: str = "row_ord",
         contexts: DataFrame | None = None,
     ) -> FittedNGramModel:
-        """Count ``df``.  The counts are written to the checkpoint folder once.
+        """Count ``df``.  The counts are written to the checkpoint folder once; the
+        vocabulary is counted when a smoothed probability is first asked for.
 
         ``contexts`` (n, ctx), if given, restricts the model to the contexts a later
         evaluation will ask for; every answer about those is unchanged.
@@ -181,7 +182,7 @@ class NGramModel:
         if contexts is not None:
             ngrams = restrict_to_contexts(ngrams, contexts)
         counts = materialize(count_ngrams(ngrams, order))
-        return FittedNGramModel(self, counts, materialize(vocabulary_size(df, self.n, tokens)))
+        return FittedNGramModel(self, counts, vocabulary_size(df, self.n, tokens))
 
 
 # Serialised size up to which a table of contexts is sent to every executor.
@@ -229,7 +230,8 @@ class FittedNGramModel:
         return replace(self, settings=NGramModel(self.n, smoothing, k))
 
     def probability(self, c: Column, ct: Column) -> Column:
-        return smoothed_probability(c, ct, F.lit(self.vocab_size), self.settings.smoothing, self.settings.k)
+        v = F.lit(None if self.settings.smoothing == "none" else self.vocab_size)
+        return smoothed_probability(c, ct, v, self.settings.smoothing, self.settings.k)
 
     def score(self, pairs: DataFrame) -> DataFrame:
         """Probability ``p`` of ``nxt`` after ``ctx`` (already n-1 tokens long) for every row."""

@@ -124,7 +124,8 @@ def stratified_split(
 def order_splits(df: DataFrame, seed: int = SEED, row_id: str = "id") -> DataFrame:
     """Number all rows from 0 as ``row_ord``: training rows first, shuffled inside a split."""
     second = F.col("dataset_split") == "test"
-    numbered = with_ordinal(df, [second, seeded_hash(seed, F.col(row_id)), F.col(row_id)], name="row_ord")
+    unnumbered = df.drop("row_ord")
+    numbered = with_ordinal(unnumbered, [second, seeded_hash(seed, F.col(row_id)), F.col(row_id)], name="row_ord")
     return numbered.withColumn("row_ord", F.col("row_ord") - 1)
 
 

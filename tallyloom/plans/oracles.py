@@ -290,11 +290,11 @@ add("x5_all_metrics", f"{BRANCHING}, {TREE_METRICS}, {COMPLEXITY}", f"""SELECT C
   FROM documents JOIN tree USING (doc_id) JOIN complexity USING (doc_id)""")
 add("x1_x4_text_metrics", "", f"""SELECT doc_id, {spaces('text')}::BIGINT AS n_whitespaces,
   {words('text')}::BIGINT AS n_words, {nloc('text')}::BIGINT AS nloc FROM documents""")
-add("d1_extract_declarations", f"""{LEAVES}, commas AS (SELECT doc_id, row, max(pos) AS at FROM leaves WHERE token = ',' GROUP BY doc_id, row),
-  named AS (SELECT doc_id, row, max_by(token, pos) AS name, max_by(token, pos) FILTER (pos < at) AS before FROM leaves
+add("d1_extract_declarations", f"""{LEAVES}, commas AS (SELECT doc_id, row, max(pos) AS last FROM leaves WHERE token = ',' GROUP BY doc_id, row),
+  named AS (SELECT doc_id, row, max_by(token, pos) AS name, max_by(token, pos) FILTER (pos < last) AS earlier FROM leaves
     LEFT JOIN commas USING (doc_id, row) WHERE regexp_matches(token, '{P.WORD}') GROUP BY doc_id, row)""",
     """SELECT CAST(doc_id AS VARCHAR) AS record_id, (row + 1) * 1048576 AS node_id, coalesce(name, 'unknown') AS name,
-  CASE WHEN at IS NULL THEN 'unknown' ELSE coalesce(before, 'unknown') || ',' END AS signature, line AS source_code,
+  CASE WHEN last IS NULL THEN 'unknown' ELSE coalesce(earlier, 'unknown') || ',' END AS signature, line AS source_code,
   row + 1 AS start_line, row + 1 AS end_line
   FROM lines LEFT JOIN named USING (doc_id, row) LEFT JOIN commas USING (doc_id, row) WHERE kind = 'method_declaration'""")
 add("d2_leading_comment", f"""{LEAVES}, before AS (SELECT *, lag(kind) OVER w AS prev_kind, lag(line) OVER w AS prev FROM lines
