@@ -426,3 +426,30 @@ add("n7_backoff_candidates", f"{PROMPTS}, {OFFERED}, {BACKED_OFF}", """SELECT ro
   FROM prompts LEFT JOIN backed_off USING (row_ord)""")
 add("n8_sample_next", f"{PROMPTS}, {OFFERED}, {BACKED_OFF}", f"""SELECT row_ord, {PICK.format(draw=fraction("'42:step:0:' || row_ord"))} AS token
   FROM prompts LEFT JOIN backed_off USING (row_ord)""")
+
+_FIT = """array_to_string(list_transform(range(4 - least(len(context), {0})), lambda i: '<START>')
+      || context[len(context) - least(len(context), {0}) + 1:], ' ')"""
+_OFFERS = ", ".join(f"o{i}.{{0}}" for i in (4, 3, 2, 1))
+_LOOKUPS = " ".join(f"LEFT JOIN offered o{i} ON o{i}.ctx = {_FIT.format(i)}" for i in (4, 3, 2, 1))
+_STOPS = ", ".join(f"'{t}'" for t in G.STOP_TOKENS)
+COMPLETED = f"""walk AS (
+    SELECT row_ord, 0 AS step, context, []::VARCHAR[] AS generated, true AS active FROM prompts
+  UNION ALL
+    SELECT row_ord, step + 1, CASE WHEN goes_on THEN list_append(context, token)[greatest(len(context) - 2, 1):] ELSE context END,
+      CASE WHEN emitted THEN list_append(generated, token) ELSE generated END, goes_on
+    FROM (SELECT *, emitted AND token NOT IN ({_STOPS}) AS goes_on FROM (
+      SELECT *, token <> '<END>' AS emitted FROM (
+        SELECT *, {PICK.format(draw=fraction("'42:step:' || step || ':' || row_ord"))} AS token FROM (
+          SELECT w.*, coalesce({_OFFERS.format('tokens')}) AS tokens, coalesce({_OFFERS.format('probs')}) AS probs
+          FROM walk w {_LOOKUPS} WHERE w.active AND w.step < {G.MAX_COMPLETION}))
+      WHERE tokens IS NOT NULL))),
+  completed AS (SELECT row_ord, max(step) AS n_steps, max_by(generated, step) AS completion FROM walk GROUP BY row_ord)"""
+# Candidates are computed once, not at every level of the recursion.
+WALK = f"{PROMPTS}, {OFFERED.replace('offered AS (', 'offered AS MATERIALIZED (')}, {COMPLETED}"
+add("n9_complete", WALK, """SELECT row_ord, array_to_string(p.context, ' ') AS context, array_to_string(completion, ' ') AS completion,
+  n_steps::BIGINT AS n_steps FROM prompts p JOIN completed USING (row_ord)""", recursive=True)
+_PREDICTED = f"""array_to_string(context, ' ') AS input_context, {FORMATTED} AS "next_5_tokens (probability)",
+  array_to_string(context, ' ') || ' ' || array_to_string(completion, ' ') AS sampled_completion
+  FROM ({FITTED}) LEFT JOIN offered USING (ctx) JOIN completed USING (row_ord)"""
+add("p15_prediction_rows", WALK, f"SELECT row_ord, {_PREDICTED}", recursive=True)
+add("k4_write_predictions", WALK, f"SELECT {_PREDICTED}", recursive=True)
