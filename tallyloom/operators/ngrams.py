@@ -49,11 +49,11 @@ def extract_ngrams(
     """
     sizes = [n] if isinstance(n, int) else sorted(set(n))
     widest = max(sizes)
-    positions = df.where(F.col(tokens).isNotNull()).select(
-        *keep,
-        pad(F.col(tokens), widest).alias("__padded"),
-        F.explode(F.sequence(F.lit(1), F.size(tokens) + 1)).alias("pos"),
-    )
+    # Padding stands below the explode, or it would be done again for every position.  A
+    # missing list has no size and yields no position.
+    padded = df.select(*keep, pad(F.col(tokens), widest).alias("__padded"))
+    last = F.size("__padded") - (widest - 1)
+    positions = padded.select(*keep, "__padded", F.explode(F.sequence(F.lit(1), last)).alias("pos"))
 
     def context(size: int) -> Column:
         return F.slice("__padded", F.col("pos") + (widest - size), size - 1)
@@ -103,7 +103,7 @@ def vocabulary_size(df: DataFrame, n: int, tokens: str = "code_tokens", approxim
     Each sequence contributes its own distinct tokens, which are then merged.
     """
     token = F.explode(F.array_distinct(pad(F.col(tokens), min(n, 2)))).alias("token")
-    words = df.where(F.col(tokens).isNotNull()).select(token)
+    words = df.select(token)
     if approximate:
         return words.agg(F.approx_count_distinct("token").alias("v"))
     return words.agg(F.count_distinct("token").alias("v"))
@@ -185,24 +185,24 @@ class NGramModel:
         return FittedNGramModel(self, counts, vocabulary_size(df, self.n, tokens))
 
 
-# Serialised size up to which a table of contexts is sent to every executor.
-BROADCAST_BYTES = 64 * 1024 * 1024
+# Number of contexts up to which their hashes (one long each) go to every executor.
+BROADCAST_CONTEXTS = 4_000_000
 
 
 def restrict_to_contexts(ngrams: DataFrame, contexts: DataFrame) -> DataFrame:
-    """Windows whose (n, ctx) is asked for.
+    """Windows whose (n, ctx) is asked for, and possibly a few others.
 
-    The table of contexts is measured.  A small one is broadcast, so that only matching
-    windows are ever shuffled.  A larger one would mean a join that shuffles raw windows,
-    which costs more than counting them all: then nothing is dropped.
+    What is broadcast is the set of the contexts' hashes, so a window whose context shares
+    a hash with another may stay too; contexts themselves are compared later.  The set is
+    counted first.  Where it is too large to broadcast, a join would shuffle the raw
+    windows, which costs more than counting them all: then nothing is dropped.
     """
-    wanted = materialize(contexts.select("n", "ctx").distinct())
-    size = wanted.agg(
-        F.sum(F.octet_length(F.array_join("ctx", "")) + 16 * F.size("ctx") + 64).alias("b")
-    ).first()["b"]
-    if (size or 0) > BROADCAST_BYTES:
+    key = F.xxhash64("n", "ctx").alias("__context")
+    wanted = materialize(contexts.select(key).distinct())
+    if wanted.count() > BROADCAST_CONTEXTS:
         return ngrams
-    return ngrams.join(F.broadcast(wanted), ["n", "ctx"], "left_semi")
+    kept = ngrams.withColumn("__context", key).join(F.broadcast(wanted), "__context", "left_semi")
+    return kept.drop("__context")
 
 
 @dataclass(frozen=True)

@@ -182,7 +182,7 @@ def test_model_equals_plain_python(spark, n, smoothing, k):
 def test_restriction_by_size_changes_nothing(spark, monkeypatch):
     train, test = table(spark, corpus(4, 30)), table(spark, corpus(5, 10))
     small = E.perplexity(E.fit_for(N.NGramModel(3), train, test), test).first()
-    monkeypatch.setattr(N, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(N, "BROADCAST_CONTEXTS", 0)
     large = E.perplexity(E.fit_for(N.NGramModel(3), train, test), test).first()
     assert small == large
 
