@@ -20,7 +20,6 @@ from .ngrams import (
     first_seen,
     lookup_counts,
     lookup_topk,
-    next_token_topk,
     restrict_to_contexts,
     smoothed_probability,
     vocabulary_size,
@@ -136,7 +135,7 @@ def topk_accuracy(
         .groupBy(*by, "n", "ctx", "nxt")
         .agg(F.count(F.lit(1)).alias("w"))
     )
-    best = candidate_lists(next_token_topk(model.counts.select("n", "ctx", "nxt", "c", "first_seen"), max(TOP)))
+    best = candidate_lists(model.counts, max(TOP))
     found = lookup_topk(pairs, best).withColumn(
         "place", F.array_position(F.col("candidates.nxt"), F.col("nxt"))
     )
@@ -229,7 +228,7 @@ def score_grid(
     )
     trained = merged.where("c > 0").select("n", "ctx", "nxt", "c", "first_seen")
     tested = merged.where("w > 0 or w_acc > 0").select("n", "ctx", "nxt", "c", "w", "w_acc")
-    best = candidate_lists(next_token_topk(trained, max(TOP)))
+    best = candidate_lists(trained, max(TOP))
     looked_up = (
         tested.join(context_totals(trained), ["n", "ctx"], "left")
         .join(best, ["n", "ctx"], "left")

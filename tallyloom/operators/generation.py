@@ -25,8 +25,6 @@ MIN_CONTEXT, MAX_CONTEXT = 3, 10
 TOP_CANDIDATES = 5
 STOP_TOKENS = ("}", ";")
 MAX_COMPLETION = 50
-# Steps between two writes of the state: bounds the plan, and what a lost executor costs.
-STEPS_PER_WRITE = 5
 
 
 def min_prompt_length(tokens: str = "code_tokens", minimum: int = MIN_CONTEXT) -> Column:
@@ -135,12 +133,11 @@ def _stepper(n: int, seed: int, row_id: str) -> Lookup:
     new = F.array("__token")
     longer = F.concat("context", new)
     shortened = F.slice(longer, F.greatest(F.size(longer) - (n - 2), F.lit(1)), n - 1) if n > 1 else longer
-    listed = F.transform("candidates", lambda c: F.struct(c["token"].alias("token"), c["prob"].alias("prob")))
     updated = [
         F.col(row_id),
         F.when(goes_on, shortened).otherwise(F.col("context")).alias("context"),
         F.when(emitted, F.concat("generated", new)).otherwise(F.col("generated")).alias("generated"),
-        F.when(offered, F.concat("steps", F.array(listed))).otherwise(F.col("steps")).alias("steps"),
+        F.when(offered, F.concat("steps", F.array("candidates"))).otherwise(F.col("steps")).alias("steps"),
         goes_on.alias("active"),
     ]
 
@@ -158,7 +155,7 @@ def complete(
 
     Adds ``completion`` (tokens) and ``steps`` (the candidates offered at each step).  The
     candidate table is laid out by context once and merged with as it lies: each step moves
-    only the prompts still open.  Every few steps the state is written, which ends its
+    only the prompts still open.  After each step the state is written, which ends its
     lineage, and finished prompts are set aside.  A lost part of the cached candidates is
     laid out again from the counts, which are in the checkpoint folder.
     """
@@ -174,14 +171,12 @@ def complete(
     )
     finished: list[DataFrame] = []
     step, laid_out = _stepper(model.n, seed, row_id), candidates.hint("merge")
-    for number in range(max_length):
-        state = step(state, laid_out)
-        if (number + 1) % STEPS_PER_WRITE == 0 and number + 1 < max_length:
-            state = materialize(state)
-            finished.append(state.where(~F.col("active")))
-            state = state.where("active")
-            if state.isEmpty():
-                break
+    for _ in range(max_length):
+        state = materialize(step(state, laid_out))
+        finished.append(state.where(~F.col("active")))
+        state = state.where("active")
+        if state.isEmpty():
+            break
     completed = materialize(reduce(DataFrame.unionByName, finished, state))
     candidates.unpersist()
     return prompts.join(

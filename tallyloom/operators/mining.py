@@ -117,8 +117,8 @@ def coalesce_metric_shape(df: DataFrame) -> DataFrame:
     )
 
 
-def build_record(df: DataFrame) -> DataFrame:
-    """The nested record of each method.
+def build_record(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The nested record of each method, and the columns to ``keep`` beside it.
 
     Input columns: ``project_name, repo_url, commit_sha, license_key, new_path, name,
     signature, start_line, end_line, source_code, doc_comment, code_tokens`` and the metrics.
@@ -147,6 +147,7 @@ def build_record(df: DataFrame) -> DataFrame:
         ).alias("method"),
         "code_tokens",
         F.struct(*METRIC_NAMES).alias("metrics"),
+        *keep,
     )
 
 

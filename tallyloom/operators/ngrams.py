@@ -13,6 +13,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql import WindowSpec
 
 from ..session import materialize
 
@@ -129,21 +130,29 @@ def lookup_counts(pairs: DataFrame, counts: DataFrame, totals: DataFrame) -> Dat
     )
 
 
+def _best_first() -> WindowSpec:
+    """Both ranking steps use this window, so the rows are sorted once."""
+    return W.partitionBy("n", "ctx").orderBy(F.desc("c"), F.asc("first_seen"))
+
+
 def next_token_topk(counts: DataFrame, k: int = 5) -> DataFrame:
     """The k most frequent next tokens of each context; ties by first appearance.
 
     The rank limit applies inside every task first, so a context with very many
     continuations sends at most k of them per task.
     """
-    best_first = W.partitionBy("n", "ctx").orderBy(F.col("c").desc(), F.col("first_seen"))
-    return counts.withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= k)
+    return counts.withColumn("rank", F.row_number().over(_best_first())).where(F.col("rank") <= k)
 
 
-def candidate_lists(ranked: DataFrame) -> DataFrame:
-    """One row per context: its ranked (at most k) continuations as an array."""
-    columns = [c for c in ranked.columns if c not in ("n", "ctx", "rank")]
-    listed = F.sort_array(F.collect_list(F.struct("rank", *columns)))
-    return ranked.groupBy("n", "ctx").agg(listed.alias("candidates"))
+def candidate_lists(counts: DataFrame, k: int = 5) -> DataFrame:
+    """One row per context: its k most frequent continuations as an array of (nxt, c).
+
+    The row ranked first looks at the k-1 rows after it, which needs no aggregation.
+    """
+    item = F.struct("nxt", "c")
+    following = [F.lead(item, i).over(_best_first()) for i in range(1, k)]
+    listed = F.array_compact(F.array(item, *following)).alias("candidates")
+    return next_token_topk(counts, k).select("n", "ctx", "rank", listed).where("rank = 1").drop("rank")
 
 
 def lookup_topk(queries: DataFrame, candidates: DataFrame, how: str = "inner") -> DataFrame:
@@ -239,23 +248,21 @@ class FittedNGramModel:
         return looked_up.withColumn("p", self.probability(F.col("c"), F.col("ct")))
 
     def candidates(self, k: int = 5) -> DataFrame:
-        """Per context: its k best continuations as an array of (rank, token, prob)."""
-        ranked = next_token_topk(self.counts, k).join(self.totals, ["n", "ctx"])
-        return candidate_lists(
-            ranked.select(
-                "n", "ctx", "rank", F.col("nxt").alias("token"),
-                self.probability(F.col("c"), F.col("ct")).alias("prob"),
-            )
+        """Per context: its k best continuations as an array of (token, prob)."""
+        prob = self.probability
+        listed = candidate_lists(self.counts, k).join(self.totals, ["n", "ctx"])
+        scored = F.transform(
+            "candidates",
+            lambda x: F.struct(x["nxt"].alias("token"), prob(x["c"], F.col("ct")).alias("prob")),
         )
+        return listed.select("n", "ctx", scored.alias("candidates"))
 
     def predict(self, prompts: DataFrame, k: int = 5, context: str = "context") -> DataFrame:
         """Add ``predictions``, at most k (token, prob); empty for an unseen context."""
         fitted = prompts.withColumn("n", F.lit(self.n)).withColumn("ctx", fit_context(F.col(context), self.n))
         found = lookup_topk(fitted, self.candidates(k), "left")
-        predictions = F.transform(
-            F.coalesce("candidates", F.array()), lambda c: F.struct(c["token"].alias("token"), c["prob"].alias("prob"))
-        )
-        return found.withColumn("predictions", predictions).drop("n", "ctx", "candidates")
+        none = F.array().cast("array<struct<token:string,prob:double>>")
+        return found.withColumn("predictions", F.coalesce("candidates", none)).drop("n", "ctx", "candidates")
 
     def complete(self, prompts: DataFrame, max_length: int = 20, seed: int = 42, **names: str) -> DataFrame:
         """N9; see ``generation.complete``."""

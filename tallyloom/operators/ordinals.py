@@ -123,6 +123,7 @@ def with_seeded_rank(
     ids: Sequence[str],
     name: str = "rank",
     quota: Callable[[DataFrame], DataFrame] | None = None,
+    only_within: bool = True,
 ) -> DataFrame:
     """Rank rows of each group in random order, reproducibly.
 
@@ -132,7 +133,8 @@ def with_seeded_rank(
 
     ``quota``, if given, turns the table (group, rows) into (group, quota).  Groups without
     a quota and ranks past it are dropped, most of them before anything but counts is
-    shuffled.  The ids must tell rows apart, or copies share a bucket.
+    shuffled; with ``only_within=False`` all ranks stay and a column ``quota`` is added.
+    The ids must tell rows apart, or copies share a bucket.
     """
     hashed = df.withColumn("__hash", seeded_hash(seed, *[F.col(i) for i in ids])).withColumn(
         "__bucket", leading_bits(F.col("__hash"), _BUCKET_DIGITS)
@@ -145,12 +147,16 @@ def with_seeded_rank(
     )
     if quota is not None:
         quotas = quota(sizes.groupBy(group).agg(F.sum("__rows").alias("rows")))
-        starts = join_on(starts, quotas.select(group, F.col("quota").alias("__quota")), [group])
-        starts = starts.where(F.col("__start") < F.col("__quota"))
+        # Quotas meet bucket counts, so no row is ever shuffled by its group alone.
+        starts = join_on(starts, quotas.select(group, "quota"), [group])
+        if only_within:
+            starts = starts.where(F.col("__start") < F.col("quota"))
     place = F.row_number().over(
         W.partitionBy(group, "__bucket").orderBy("__hash", *[F.col(i) for i in ids])
     )
     ranked = join_on(hashed, starts, [group, "__bucket"]).withColumn(name, F.col("__start") + place)
-    if quota is not None:
-        ranked = ranked.where(F.col(name) <= F.col("__quota"))
-    return ranked.select(*df.columns, name)
+    if quota is None:
+        return ranked.select(*df.columns, name)
+    if only_within:
+        return ranked.where(F.col(name) <= F.col("quota")).select(*df.columns, name)
+    return ranked.select(*df.columns, name, "quota")

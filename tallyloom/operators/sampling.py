@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.randomness import seeded_hash
 from ..session import materialize
 from .cleaning import quality_filter
-from .ordinals import join_on, with_ordinal, with_seeded_rank
+from .ordinals import with_ordinal, with_seeded_rank
 
 N_TRAIN = 20_000
 N_TEST = 5_000
@@ -112,13 +112,14 @@ def stratified_split(
     row_id: str = "id",
 ) -> DataFrame:
     """Set ``dataset_split`` so that every repository is split in the same proportion."""
-    counts = df.groupBy(repo).agg(F.count(F.lit(1)).alias("rows"))
-    quotas = split_quotas(counts, test_fraction, repo).select(repo, F.col("train_rows").alias("__train"))
-    ranked = with_seeded_rank(df, repo, f"split:{seed}", [row_id], "__rank")
-    split = F.when(F.col("__rank") <= F.col("__train"), F.lit("train")).otherwise(F.lit("test"))
-    return (
-        join_on(ranked, quotas, [repo]).withColumn("dataset_split", split).drop("__rank", "__train")
+    def train_quota(counts: DataFrame) -> DataFrame:
+        return split_quotas(counts, test_fraction, repo).withColumnRenamed("train_rows", "quota")
+
+    ranked = with_seeded_rank(
+        df, repo, f"split:{seed}", [row_id], "__rank", train_quota, only_within=False
     )
+    split = F.when(F.col("__rank") <= F.col("quota"), F.lit("train")).otherwise(F.lit("test"))
+    return ranked.withColumn("dataset_split", split).drop("__rank", "quota")
 
 
 def order_splits(df: DataFrame, seed: int = SEED, row_id: str = "id") -> DataFrame:

@@ -20,7 +20,7 @@ from ..operators import ngrams as N
 from ..operators import sampling as S
 from ..operators import trees
 from ..operators.dedupe import dedupe_keep_last, duplicate_report
-from ..session import ensure_checkpoint_dir, materialize
+from ..session import ensure_checkpoint_dir, stored
 from ..sources import records as R
 from ..sources import sinks as K
 from . import standins as D
@@ -377,6 +377,11 @@ def deduplicated(spark: SparkSession, sf: str) -> DataFrame:
     return dedupe_keep_last(C.clean_methods(D.methods(spark, sf)))
 
 
+def prepared(spark: SparkSession, sf: str) -> DataFrame:
+    """The same as a table, for operators that read it more than once."""
+    return stored(deduplicated(spark, sf))
+
+
 @query("w1_duplicate_report")
 def _(spark, sf):
     return duplicate_report(C.clean_methods(D.methods(spark, sf))).select(
@@ -426,13 +431,13 @@ def _(spark, sf):
 
 @query("w5_u1_proportional_sample")
 def _(spark, sf):
-    sample = S.proportional_sample(C.quality_filter(deduplicated(spark, sf)), SAMPLE_SIZE)
+    sample = S.proportional_sample(C.quality_filter(prepared(spark, sf)), SAMPLE_SIZE)
     return sample.select("id", "repo_name")
 
 
 @query("w5_shortfall_all")
 def _(spark, sf):
-    sample = S.proportional_sample(C.quality_filter(deduplicated(spark, sf)), 100_000_000, on_shortfall="all")
+    sample = S.proportional_sample(C.quality_filter(prepared(spark, sf)), 100_000_000, on_shortfall="all")
     return sample.select("id", "repo_name")
 
 
@@ -458,7 +463,7 @@ def _(spark, sf):
 
 @query("r2_sample_from_large_repos")
 def _(spark, sf):
-    sample = S.sample_from_large_repos(deduplicated(spark, sf), SAMPLE_TRAIN, SAMPLE_TEST)
+    sample = S.sample_from_large_repos(prepared(spark, sf), SAMPLE_TRAIN, SAMPLE_TEST)
     return sample.select("id", "repo_name", "dataset_split", "row_ord")
 
 
@@ -538,7 +543,7 @@ def _(spark, sf):
 def _(spark, sf):
     model = model_for_test(spark, sf, N.NGramModel(5))
     contexts = N.extract_ngrams(D.test_rows(spark, sf), 5).select("n", "ctx").distinct()
-    found = N.lookup_topk(contexts, N.candidate_lists(N.next_token_topk(model.counts)))
+    found = N.lookup_topk(contexts, N.candidate_lists(model.counts))
     return found.select("ctx", F.col("candidates.nxt").alias("tokens"))
 
 
