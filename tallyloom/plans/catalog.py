@@ -34,6 +34,7 @@ PUSHED_SINCE, PUSHED_TO = date(2024, 2, 1), date(2024, 12, 31)
 LANGUAGE = "automobile"
 SAMPLE_SIZE, SAMPLE_TRAIN, SAMPLE_TEST = 200, 160, 40
 CHUNK, CAP = 100, 5000
+PAGE_BRANCHES = ("li", "p", "h1")
 
 
 def query(name: str) -> Callable[[Query], Query]:
@@ -347,6 +348,21 @@ def _(spark, sf):
     return trees.branch_complexity(D.document_nodes(spark, sf, branching=True))
 
 
+@query("a1_tree_metrics_pages")
+def _(spark, sf):
+    return trees.tree_metrics(D.page_nodes(spark, sf))
+
+
+@query("a2_leaf_tokens_pages")
+def _(spark, sf):
+    return trees.leaf_tokens(D.page_nodes(spark, sf))
+
+
+@query("a3_branch_complexity_pages")
+def _(spark, sf):
+    return trees.branch_complexity(D.page_nodes(spark, sf), PAGE_BRANCHES)
+
+
 @query("x5_all_metrics")
 def _(spark, sf):
     texts = D.documents(spark, sf).select(F.col("doc_id").cast("string").alias("record_id"), "text")

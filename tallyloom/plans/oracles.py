@@ -5,7 +5,8 @@ from __future__ import annotations
 from ..functions import patterns as P
 from ..operators import evaluation as E
 from ..operators import generation as G
-from .catalog import CAP, CHUNK, LANGUAGE, PUSHED_SINCE, PUSHED_TO, SAMPLE_SIZE, SAMPLE_TEST, SAMPLE_TRAIN, SINCE, TO
+from . import standins as D
+from .catalog import CAP, CHUNK, LANGUAGE, PAGE_BRANCHES, PUSHED_SINCE, PUSHED_TO, SAMPLE_SIZE, SAMPLE_TEST, SAMPLE_TRAIN, SINCE, TO
 
 ORACLES: dict[str, str] = {}
 
@@ -303,6 +304,23 @@ add("d2_leading_comment", f"""{LEAVES}, before AS (SELECT *, lag(kind) OVER w AS
   CASE WHEN prev_kind = 'comment' THEN regexp_replace(prev, '{P.EDGE_WS}', '', 'g') ELSE '' END AS doc_comment
   FROM before WHERE kind = 'method_declaration'""")
 
+VOID = ", ".join(f"'{t}'" for t in D.NEVER_CLOSED)
+# A node is a leaf when the node after it is not one level deeper.
+PAGES = f"""parts AS (SELECT page_id, unnest(regexp_extract_all(regexp_replace(html, '{D.SCRIPT_OR_STYLE}', '', 'g'), '{D.TAG_OR_TEXT}')) AS part,
+    unnest(range(len(regexp_extract_all(regexp_replace(html, '{D.SCRIPT_OR_STYLE}', '', 'g'), '{D.TAG_OR_TEXT}')))) AS pos FROM pages),
+  tagged AS (SELECT *, regexp_extract(part, '^<([a-zA-Z0-9]+)', 1) AS tag FROM parts),
+  levels AS (SELECT *, 2 + greatest(0, coalesce(sum(CASE WHEN tag <> '' AND tag NOT IN ({VOID}) THEN 1 WHEN part LIKE '</%' THEN -1 ELSE 0 END)
+    OVER (PARTITION BY page_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS depth FROM tagged),
+  nodes AS (SELECT *, coalesce(lead(depth) OVER (PARTITION BY page_id ORDER BY pos), 0) <= depth AS leaf FROM levels WHERE part NOT LIKE '</%')"""
+add("a1_tree_metrics_pages", PAGES, """SELECT CAST(page_id AS VARCHAR) AS record_id, (1 + count(*))::BIGINT AS n_ast_nodes, max(depth)::BIGINT AS ast_depth,
+  count(DISTINCT part) FILTER (part NOT LIKE '<%') AS n_identifiers, count(DISTINCT part) FILTER (leaf) AS vocab_size,
+  count(*) FILTER (leaf) AS token_counts FROM nodes GROUP BY page_id""")
+add("a2_leaf_tokens_pages", PAGES, """SELECT CAST(page_id AS VARCHAR) AS record_id, string_agg(part, ' ' ORDER BY depth, pos) FILTER (leaf) AS code_tokens
+  FROM nodes GROUP BY page_id""")
+_BRANCHES = ", ".join(f"'{t}'" for t in PAGE_BRANCHES)
+add("a3_branch_complexity_pages", PAGES, f"""SELECT CAST(page_id AS VARCHAR) AS record_id,
+  1 + count(*) FILTER (tag IN ({_BRANCHES})) AS cyclomatic_complexity FROM nodes GROUP BY page_id""")
+
 _STEPS = ["true", VALID_NAME, VALID_LINES, VALID_NLOC, VALID_PARSE]
 _NAMES = ["input", "valid_method_name", "valid_line_span", "nloc_between", "parsed_ok"]
 add("a4_step_report", DEDUPED, " UNION ALL ".join(

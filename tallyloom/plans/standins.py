@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from ..functions import patterns as P
 from ..functions import text as X
@@ -187,3 +188,67 @@ def document_nodes(spark: SparkSession, sf_dir: str, branching: bool = False) ->
         F.col("row").alias("end_row"),
     )
     return root.unionByName(line_nodes).unionByName(token_nodes)
+
+
+# What separates a page into tags and text, and elements that stay open.
+SCRIPT_OR_STYLE = r"(?s)<(script|style)>.*?</(script|style)>"
+TAG_OR_TEXT = "<[^>]+>|[^<]+"
+NEVER_CLOSED = ("br", "meta", "b")
+
+
+def page_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trees of varying depth from the tags of web pages.
+
+    An opening tag holds what follows until a closing tag; which one is not looked at, since
+    pages leave tags open.  Text is an identifier, a markup comment a comment.  Windows
+    cover one page each.
+    """
+    html = F.regexp_replace("html", SCRIPT_OR_STYLE, "")
+    parts = table(spark, sf_dir, "pages").select(
+        F.col("page_id").cast("string").alias("record_id"),
+        F.posexplode(F.regexp_extract_all(html, F.lit(TAG_OR_TEXT), F.lit(0))).alias("pos", "part"),
+    )
+    tag = F.regexp_extract("part", "^<([a-zA-Z0-9]+)", 1)
+    opens = (tag != "") & ~tag.isin(*NEVER_CLOSED)
+    change = F.when(opens, 1).when(F.col("part").startswith("</"), -1).otherwise(0)
+    earlier = W.partitionBy("record_id").orderBy("pos").rowsBetween(W.unboundedPreceding, -1)
+    level = F.greatest(F.coalesce(F.sum(change).over(earlier), F.lit(0)), F.lit(0)).cast("int") + 2
+    kind = (
+        F.when(tag != "", tag).when(F.col("part").startswith("<!"), "comment").otherwise("identifier")
+    )
+    nodes = parts.select("*", level.alias("depth"), kind.alias("node_type")).where(
+        ~F.col("part").startswith("</")
+    )
+    # A node's parent is the last node before it one level up: both meet at that level.
+    meeting = nodes.select("*", F.inline(F.array(
+        F.struct(F.col("depth").alias("at"), F.lit(True).alias("as_parent")),
+        F.struct((F.col("depth") - 1).alias("at"), F.lit(False).alias("as_parent")),
+    )))
+    before = W.partitionBy("record_id", "at").orderBy("pos")
+    above = F.last(F.when(F.col("as_parent"), F.col("pos") + 1), ignorenulls=True).over(before)
+    children = meeting.withColumn("above", above).where(~F.col("as_parent"))
+    siblings = W.partitionBy("record_id", "parent_id").orderBy("node_id")
+    below = children.select(
+        "record_id",
+        (F.col("pos") + 1).cast("bigint").alias("node_id"),
+        F.when(F.col("depth") == 2, 0).otherwise(F.col("above")).cast("bigint").alias("parent_id"),
+        "depth",
+        "node_type",
+        F.lit(True).alias("is_named"),
+        F.col("part").alias("text"),
+        F.col("pos").alias("start_row"),
+        F.col("pos").alias("end_row"),
+    ).withColumn("sibling_ord", F.row_number().over(siblings) - 1)
+    root = table(spark, sf_dir, "pages").select(
+        F.col("page_id").cast("string").alias("record_id"),
+        F.lit(0).cast("bigint").alias("node_id"),
+        F.lit(None).cast("bigint").alias("parent_id"),
+        F.lit(1).alias("depth"),
+        F.lit("program").alias("node_type"),
+        F.lit(True).alias("is_named"),
+        F.col("html").alias("text"),
+        F.lit(0).alias("start_row"),
+        F.lit(0).alias("end_row"),
+        F.lit(0).alias("sibling_ord"),
+    )
+    return root.unionByName(below)
