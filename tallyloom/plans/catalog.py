@@ -333,6 +333,11 @@ def _(spark, sf):
 # --- aggregations over trees and methods --------------------------------------------------
 
 
+def node_table(spark: SparkSession, sf: str, branching: bool = False) -> DataFrame:
+    """Document trees as the stored table the operators expect, for those that scan it often."""
+    return stored(D.document_nodes(spark, sf, branching))
+
+
 @query("a1_tree_metrics")
 def _(spark, sf):
     return trees.tree_metrics(D.document_nodes(spark, sf))
@@ -345,7 +350,7 @@ def _(spark, sf):
 
 @query("a3_branch_complexity")
 def _(spark, sf):
-    return trees.branch_complexity(D.document_nodes(spark, sf, branching=True))
+    return trees.branch_complexity(node_table(spark, sf, branching=True))
 
 
 @query("a1_tree_metrics_pages")
@@ -366,12 +371,12 @@ def _(spark, sf):
 @query("x5_all_metrics")
 def _(spark, sf):
     texts = D.documents(spark, sf).select(F.col("doc_id").cast("string").alias("record_id"), "text")
-    return trees.all_metrics(D.document_nodes(spark, sf, branching=True), texts)
+    return trees.all_metrics(node_table(spark, sf, branching=True), texts)
 
 
 @query("d1_extract_declarations")
 def _(spark, sf):
-    return trees.extract_declarations(D.document_nodes(spark, sf))
+    return trees.extract_declarations(node_table(spark, sf))
 
 
 @query("d2_leading_comment")
