@@ -187,6 +187,17 @@ def test_restriction_by_size_changes_nothing(spark, monkeypatch):
     assert small == large
 
 
+def test_grid_without_restriction_is_the_same(spark, monkeypatch):
+    train, test = table(spark, corpus(16, 25)), table(spark, corpus(17, 8))
+    settings = [E.Configuration(2, "none"), E.Configuration(4, "add-k", 0.5)]
+    small = E.score_grid(train, test, settings).collect()
+    monkeypatch.setattr(N, "BROADCAST_CONTEXTS", 0)
+    large = E.score_grid(train, test, settings).collect()
+    assert [r.total_predictions for r in small] == [r.total_predictions for r in large]
+    for a, b in zip(small, large):
+        assert (a.perplexity, a.top5_acc) == pytest.approx((b.perplexity, b.top5_acc))
+
+
 def test_probabilities_sum_to_one(spark):
     df = table(spark, corpus(6, 20))
     tokens = [*WORDS, N.START, N.END]
