@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,17 +24,12 @@ def recommended(builder: SparkSession.Builder) -> SparkSession.Builder:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's checkpoint folder; fall back to a temporary one only in local mode."""
+    """Use the cluster's checkpoint folder; where none is set, one inside the shared warehouse."""
     context = spark.sparkContext
     if context.getCheckpointDir():
         return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        context.setCheckpointDir(shared)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoint-"))
-    else:
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"{warehouse}/checkpoints")
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -49,9 +43,21 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """The same rows as a Parquet table next to the checkpoints, for readers of few columns."""
-    spark = df.sparkSession
+    """The same rows as a Parquet table next to the checkpoints, for readers of few columns.
+
+    The table belongs to the session's driver: it is removed when that process ends, also
+    after a failure.  What a killed driver leaves is a folder ``table-*`` under
+    ``spark.checkpoint.dir`` and follows that folder's retention.
+    """
+    path = scratch_path(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def scratch_path(spark: SparkSession) -> str:
+    """A new path in the shared checkpoint folder, removed when the driver ends."""
     ensure_checkpoint_dir(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4()}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
