@@ -186,6 +186,20 @@ def near_duplicates(
     """One row per document: ``doc_id``, ``text_class`` (smallest id with the same text), ``n_links``
     (other documents within the threshold), ``class_id`` (smallest id connected by links), ``kept``.
     """
+    return classified(docs, n, threshold, recall, block).drop("text_key")
+
+
+def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` whose document is the first of its class, and rows without an id."""
+    kept = classified(docs, **options).where("kept").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & F.md5("text").eqNullSafe(F.col("__key"))
+    return docs.join(stored(kept), same, "left_semi")
+
+
+def classified(
+    docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall: float = TARGET_RECALL, block: int = BLOCK
+) -> DataFrame:
+    """What ``near_duplicates`` returns, with the digest ``text_key`` of each row's text (null for null)."""
     bands, rows = choose_bands(threshold, recall)
     signed = stored(signatures(docs, n, bands, rows))
     named = signed.where(F.col("doc_id").isNotNull() & F.col("bands").isNotNull())
@@ -216,13 +230,14 @@ def near_duplicates(
     per_class = stored(per_class)
     names = stored(per_class.groupBy("__root").agg(F.min("text_class").alias("class_id")))
     answer = stored(per_class.join(names, "__root").drop("__root"))
-    result = signed.select("doc_id", F.when(F.col("bands").isNotNull(), F.col("text_key")).alias("text_key")).join(
-        answer, "text_key", "left"
+    found = F.col("doc_id").isNotNull() & F.col("bands").isNotNull()
+    result = signed.select("doc_id", "text_key", F.when(found, F.col("text_key")).alias("__key")).join(
+        answer.withColumnRenamed("text_key", "__key"), "__key", "left"
     )
     own = lambda c: F.coalesce(c, F.col("doc_id"))
     found = F.col("doc_id").isNotNull()
     return result.select(
-        "doc_id",
+        "doc_id", "text_key",
         F.when(found, own("text_class")).alias("text_class"),
         F.when(found, F.coalesce("n_links", F.lit(0))).otherwise(F.lit(0)).cast("long").alias("n_links"),
         F.when(found, own("class_id")).alias("class_id"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from . import line_dedup as L
 from . import mixing as M
+from . import ngram_join as J
 from . import quality as Q
 from .common import WORD
 
@@ -103,4 +104,27 @@ def mixing_sql(docs: str) -> str:
 
 OP6 = f"WITH {mixing_sql('documents')} SELECT * FROM mixed"
 
-ORACLES = {"op1_quality_rules": OP1, "op2_line_dedup": OP2, "op6_mixing": OP6}
+
+def near_duplicates_sql(docs: str) -> str:
+    """Common table expressions that end in ``classified``: every pair that shares an n-gram is compared."""
+    last = J.N - 1
+    return f"""classes AS (SELECT md5(text) AS k, min(doc_id) AS text_class, count(*) AS copies, any_value({WORDS}) AS w
+      FROM {docs} WHERE doc_id IS NOT NULL AND len({WORDS}) > 0 GROUP BY md5(text)),
+  grams AS (SELECT DISTINCT k, CASE WHEN len(w) < {J.N} THEN w ELSE w[i:i + {last}] END AS g
+    FROM classes, unnest(generate_series(1, greatest(len(w) - {last}, 1))) AS s(i)),
+  sizes AS (SELECT k, count(*) AS n FROM grams GROUP BY k),
+  linked AS (SELECT a.k AS a, b.k AS b FROM grams a JOIN grams b ON a.g = b.g AND a.k <> b.k
+    JOIN sizes x ON x.k = a.k JOIN sizes y ON y.k = b.k GROUP BY a.k, b.k, x.n, y.n
+    HAVING count(*) >= {J.THRESHOLD} * (x.n + y.n - count(*))),
+  reach(a, b) AS (SELECT k, k FROM classes UNION SELECT reach.a, linked.b FROM reach JOIN linked ON reach.b = linked.a),
+  component AS (SELECT a AS k, min(text_class) AS class_id FROM reach JOIN classes ON classes.k = reach.b GROUP BY a),
+  degree AS (SELECT a AS k, sum(copies) AS n FROM linked JOIN classes ON classes.k = linked.b GROUP BY a),
+  classified AS (SELECT d.*, coalesce(text_class, doc_id) AS text_class,
+      (CASE WHEN copies IS NULL THEN 0 ELSE copies - 1 + coalesce(degree.n, 0) END)::BIGINT AS n_links,
+      coalesce(class_id, doc_id) AS class_id, doc_id IS NULL OR coalesce(class_id, doc_id) = doc_id AS kept
+    FROM {docs} d LEFT JOIN classes ON classes.k = md5(d.text) AND d.doc_id IS NOT NULL LEFT JOIN component USING (k) LEFT JOIN degree USING (k))"""
+
+
+OP8 = f"WITH RECURSIVE {near_duplicates_sql('documents')} SELECT doc_id, text_class, n_links, class_id, kept FROM classified"
+
+ORACLES = {"op1_quality_rules": OP1, "op2_line_dedup": OP2, "op6_mixing": OP6, "op8_ngram_jaccard_join": OP8}

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, quality
+from ..session import scratch_path
+from . import bpe, line_dedup, mixing, ngram_join, quality, token_files
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,7 +36,25 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op5_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark)
+    token_files.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.digests(token_files.read_tokens(spark, path))
+
+
 @query
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.in_training_order(mixing.mix(table(spark, sf_dir, "documents")))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies", "first_position")
+
+
+@query
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+@query
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
