@@ -6,6 +6,7 @@ from . import line_dedup as L
 from . import mixing as M
 from . import ngram_join as J
 from . import quality as Q
+from . import vector_dedup as V
 from .common import WORD
 
 WORDS = f"regexp_extract_all(coalesce(text, ''), '{WORD}')"
@@ -127,4 +128,17 @@ def near_duplicates_sql(docs: str) -> str:
 
 OP8 = f"WITH RECURSIVE {near_duplicates_sql('documents')} SELECT doc_id, text_class, n_links, class_id, kept FROM classified"
 
-ORACLES = {"op1_quality_rules": OP1, "op2_line_dedup": OP2, "op6_mixing": OP6, "op8_ngram_jaccard_join": OP8}
+OP9 = f"""WITH RECURSIVE valid AS (SELECT vec_id, label, embedding::DOUBLE[] AS v, row_number() OVER () AS rid FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+  linked AS (SELECT a.rid AS a, b.rid AS b, b.vec_id FROM valid a JOIN valid b ON a.label = b.label AND a.rid <> b.rid AND len(a.v) = len(b.v)
+    WHERE list_dot_product(a.v, b.v) / sqrt(list_dot_product(a.v, a.v) * list_dot_product(b.v, b.v)) >= {V.THRESHOLD}),
+  reach(a, b) AS (SELECT rid, rid FROM valid UNION SELECT reach.a, linked.b FROM reach JOIN linked ON reach.b = linked.a),
+  component AS (SELECT a AS rid, min(vec_id) AS component_id FROM reach JOIN valid ON valid.rid = reach.b GROUP BY a),
+  degree AS (SELECT a AS rid, count(*) AS n FROM linked GROUP BY a),
+  answer AS (SELECT vec_id, coalesce(n, 0) AS n_links, component_id FROM valid JOIN component USING (rid) LEFT JOIN degree USING (rid)
+    UNION ALL SELECT vec_id, 0, vec_id FROM embeddings WHERE vec_id IS NULL OR label IS NULL OR embedding IS NULL OR len(embedding) = 0
+      OR len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) > 0 OR len(list_filter(embedding, lambda x: x <> 0)) = 0)
+SELECT vec_id, n_links, component_id, vec_id IS NULL OR component_id = vec_id AS kept FROM answer"""
+
+ORACLES = {"op1_quality_rules": OP1, "op2_line_dedup": OP2, "op6_mixing": OP6, "op8_ngram_jaccard_join": OP8, "op9_embedding_near_dedup": OP9}

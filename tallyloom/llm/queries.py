@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, line_dedup, mixing, ngram_join, quality, token_files
+from . import bpe, line_dedup, mixing, ngram_join, quality, token_files, vector_dedup
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,3 +58,8 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
