@@ -6,6 +6,7 @@ from . import line_dedup as L
 from . import mixing as M
 from . import ngram_join as J
 from . import quality as Q
+from . import url_filters as U
 from . import vector_dedup as V
 from .common import WORD
 
@@ -141,4 +142,53 @@ OP9 = f"""WITH RECURSIVE valid AS (SELECT vec_id, label, embedding::DOUBLE[] AS
       OR len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) > 0 OR len(list_filter(embedding, lambda x: x <> 0)) = 0)
 SELECT vec_id, n_links, component_id, vec_id IS NULL OR component_id = vec_id AS kept FROM answer"""
 
-ORACLES = {"op1_quality_rules": OP1, "op2_line_dedup": OP2, "op6_mixing": OP6, "op8_ngram_jaccard_join": OP8, "op9_embedding_near_dedup": OP9}
+
+def _host(url: str) -> str:
+    rest = f"CASE WHEN contains({url}, '://') THEN substr({url}, strpos({url}, '://') + 3) ELSE '' END"
+    return f"translate(regexp_extract({rest}, '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _rules_sql() -> tuple[str, str]:
+    rule, verdict = "CASE", "CASE"
+    for kind, text in sorted(U.RULES, key=lambda r: (-len(r[1]), r[1])):
+        name, slash, prefix = text.partition("/")
+        fits = f"(host = '{name}' OR ends_with(host, '.{name}')) AND starts_with(path, '{slash + prefix}')"
+        rule += f" WHEN {fits} THEN '{text}'"
+        verdict += f" WHEN {fits} THEN '{kind}'"
+    return rule + " END", verdict + " END"
+
+
+def url_filters_sql() -> str:
+    rule, verdict = _rules_sql()
+    keep, rest = U.DAMPING_PERCENT, 100 - U.DAMPING_PERCENT
+    rounds = "".join(
+        f""",
+  r{i + 1} AS (SELECT host, sum(trust)::BIGINT AS trust, sum(distrust)::BIGINT AS distrust FROM (
+      SELECT arcs.dst AS host, trust * t // {U.MILLION} * {keep} // 100 AS trust, distrust * d // {U.MILLION} * {keep} // 100 AS distrust
+      FROM arcs JOIN r{i} ON r{i}.host = arcs.src
+      UNION ALL SELECT host, trust * {rest} // 100, distrust * {rest} // 100 FROM r0) GROUP BY host)"""
+        for i in range(U.ROUNDS)
+    )
+    return f"""WITH placed AS (SELECT page_id, html, coalesce({_host('url')}, '') AS host,
+      coalesce(regexp_extract(CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END, '^[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+  ruled AS (SELECT *, {rule} AS rule, {verdict} AS rule_verdict FROM placed),
+  seeds AS (SELECT host, count(*) FILTER (rule_verdict = 'allow') AS allowed, count(*) FILTER (rule_verdict = 'block') AS blocked
+    FROM ruled WHERE host <> '' GROUP BY host),
+  links AS (SELECT host AS src, unnest(regexp_extract_all(html, '{U.LINK}', 1)) AS link FROM placed),
+  parents AS (SELECT host, regexp_extract(host, '^[^.]+[.]([^.]+[.].+)$', 1) AS parent FROM seeds),
+  edges AS (SELECT src, dst, count(*) AS weight FROM (
+      SELECT src, {_host("CASE WHEN starts_with(link, '//') THEN ':' || link ELSE link END")} AS dst FROM links
+      UNION ALL SELECT host, parent FROM parents UNION ALL SELECT parent, host FROM parents)
+    WHERE src <> '' AND dst <> '' AND src <> dst GROUP BY src, dst),
+  shared AS (SELECT *, sum(weight) OVER (PARTITION BY src) AS o, sum(weight) OVER (PARTITION BY dst) AS b FROM edges),
+  arcs AS (SELECT src, dst, (weight * {U.MILLION} // o)::BIGINT AS t, 0::BIGINT AS d FROM shared
+    UNION ALL SELECT dst, src, 0, (weight * {U.MILLION} // b)::BIGINT FROM shared),
+  r0 AS (SELECT host, CASE WHEN sum(allowed) OVER () > 0 THEN ({U.SCALE}::HUGEINT * allowed // sum(allowed) OVER ())::BIGINT ELSE 0 END AS trust,
+    CASE WHEN sum(blocked) OVER () > 0 THEN ({U.SCALE}::HUGEINT * blocked // sum(blocked) OVER ())::BIGINT ELSE 0 END AS distrust FROM seeds){rounds}
+SELECT page_id, host, path, rule, coalesce(rule_verdict, CASE WHEN coalesce(distrust, 0) > coalesce(trust, 0) THEN 'block' ELSE 'allow' END) AS verdict,
+  coalesce(trust, 0) AS trust, coalesce(distrust, 0) AS distrust FROM ruled LEFT JOIN r{U.ROUNDS} USING (host)"""
+
+
+OP3 = url_filters_sql()
+
+ORACLES = {"op1_quality_rules": OP1, "op2_line_dedup": OP2, "op3_url_filters": OP3, "op6_mixing": OP6, "op8_ngram_jaccard_join": OP8, "op9_embedding_near_dedup": OP9}

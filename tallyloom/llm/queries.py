@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, line_dedup, mixing, ngram_join, quality, token_files, vector_dedup
+from . import bpe, byte_cnn, line_dedup, mixing, ngram_join, quality, token_files, url_filters, vector_dedup
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,17 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.judge(table(spark, sf_dir, "pages"))
+
+
+@query
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return byte_cnn.score(docs, byte_cnn.train(docs, table(spark, sf_dir, "labels")))
+
+
 @query
 def op5_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark)
