@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def columns_of(df: DataFrame, without: Sequence[str] = ()) -> list[Column]:
+    """The columns of a table, whatever characters their names hold."""
+    return [F.col(f"`{c}`") for c in df.columns if c not in without]
+
+
 def n_words(text: Column) -> Column:
     """Words of a text as a long; null has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

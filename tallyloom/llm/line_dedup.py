@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stored
-from .common import hash128
+from .common import columns_of, hash128
 
 MIN_CHARS = 10
 MIN_DOCS = 2
@@ -39,7 +39,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     """
     doc_id = F.coalesce(F.col("doc_id"), F.lit(_LAST_ID))
     keyed = docs.select(
-        *[c for c in docs.columns if c not in ADDED],
+        *columns_of(docs, ADDED),
         doc_id.alias("__doc"), F.xxhash64("text").alias("__text"),
         F.split(F.coalesce("text", F.lit("")), "\n").alias("__lines"),
     )

@@ -22,7 +22,7 @@ from pyspark.sql import Window as W
 from ..functions.randomness import leading_bits, seeded_hash
 from ..operators.ordinals import join_on, with_ordinal
 from ..session import stored
-from .common import n_words
+from .common import columns_of, n_words
 
 WEIGHTS = (1, 2, 3)
 # (intensity at the start, intensity at the end) of sources in turn: early, even, late.
@@ -161,13 +161,13 @@ def in_training_order(mixed: DataFrame) -> DataFrame:
 
 
 def training_order(docs: DataFrame, **options) -> DataFrame:
-    """Every copy the mix takes, with the columns of ``docs``, sorted by training position.
+    """Every copy the mix takes, with the columns of ``docs`` and ``copy`` and ``position``, sorted by position.
 
     A document whose last copy is taken by less than half loses that copy.  Rows with equal
     id and text count as so many documents; one of them stands for all their copies.
     Texts travel twice: to meet their places, and to their final order.
     """
-    columns = docs.columns
+    columns = columns_of(docs, ("copy", "position"))
     key = ["__doc", "__text"]
     keyed = docs.withColumn("__doc", F.coalesce("doc_id", F.lit(-(2**63)))).withColumn("__text", F.xxhash64("text"))
     places = mix(keyed, keep=key, **options).where("copies > 0").groupBy(*key).agg(

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, WORD, n_words
+from .common import SPACE, WORD, columns_of, n_words
 
 WINDOW = 5
 MIN_WORDS = 10
@@ -98,7 +98,7 @@ def judge(docs: DataFrame, max_lost_percent: int = MAX_LOST_PERCENT) -> DataFram
     squeezed = F.translate(text, _SPACES, "")
     good = F.filter(lines, lambda x: ~line_fails(x))
     measured = docs.select(
-        *[c for c in docs.columns if c not in ADDED],
+        *columns_of(docs, ADDED),
         n_words(text).alias("n_words"),
         F.length(squeezed).cast("long").alias("word_chars"),
         (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
@@ -122,8 +122,9 @@ def judge(docs: DataFrame, max_lost_percent: int = MAX_LOST_PERCENT) -> DataFram
 
 
 def keep_good(docs: DataFrame, **options) -> DataFrame:
-    """Kept documents with their failing lines removed, in the columns of the input."""
-    judged = judge(docs, **options).where("kept")
-    return judged.withColumn("text", F.col("clean_text")).withColumn("n_chars", F.length("text").cast("long")).select(
-        *docs.columns
+    """Kept documents with their failing lines removed and ``n_chars`` adjusted, in the columns of the input."""
+    packed = docs.select(F.struct(*columns_of(docs)).alias("__row"), "text")
+    new = {"text": F.col("clean_text"), "n_chars": F.length("clean_text").cast("long")}
+    return judge(packed, **options).where("kept").select(
+        *[new[c].alias(c) if c in new else F.col(f"__row.`{c}`") for c in docs.columns]
     )

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, byte_cnn, line_dedup, mixing, ngram_join, quality, token_files, url_filters, vector_dedup
+from . import bpe, byte_cnn, licenses, line_dedup, mixing, ngram_join, quality, token_files, url_filters, vector_dedup
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,3 +74,9 @@ def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    return found.withColumn("families", F.array_join("families", " ")).drop("spans")
