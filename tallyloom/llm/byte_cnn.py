@@ -10,8 +10,8 @@ chosen by hash, each with a window of at most ``CROP`` characters at a hashed pl
 reads every byte of every text.
 
 Defined cases: null and empty texts are scored as one blank chunk; a document with contradicting
-or null labels is not learned from; without labels of both classes every score is the share of
-label 1 (0.5 without labels); repeated rows get equal scores; columns beside ``doc_id`` and
+or null labels is not learned from; without labels of both classes every score is the same, near
+the share of label 1 (0.5 without labels); repeated rows get equal scores; columns beside ``doc_id`` and
 ``text`` are not read.
 """
 
@@ -235,7 +235,8 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, crop: in
 
     sample = training_rows(docs, labels, max_rows, crop).repartition(1)
     found = {r["name"]: np.array(r["values"]) for r in sample.mapInPandas(run, "name string, values array<double>").collect()}
-    weights = {k: found[k].reshape(v.shape) for k, v in new_weights().items()}
+    # Without any training row no task runs.
+    weights = {k: found[k].reshape(v.shape) if found else np.zeros_like(v) for k, v in new_weights().items()}
     known = labels.where(F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id")))
     zeros, ones = known.agg(F.count_if(F.col("quality") == 0), F.count_if(F.col("quality") == 1)).first()
     weights["bias"] = weights["bias"] + np.log((ones + 1e-9) / (zeros + 1e-9)).clip(-6, 6)
