@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm import bpe, line_dedup, mixing, ngram_join, quality
+from tallyloom.llm.common import columns_of
 from tallyloom.session import stored
 
 
@@ -22,7 +23,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops lines that an earlier document has; a document may be left without text."""
     deduped = line_dedup.dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long"))
-    return deduped.select(*docs.columns)
+    return deduped.select(*columns_of(docs))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +33,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The copies that the mix takes, in training order."""
-    return mixing.training_order(docs).select(*docs.columns)
+    return mixing.training_order(docs).select(*columns_of(docs))
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
