@@ -28,12 +28,34 @@ from pyspark.sql import functions as F
 
 from .pretokens import UnitEncoder, id_lists, slices
 
+# Words up to so many bytes keep their tokens in one list; longer ones in one row per token.
+SHORT = 48
 # Rows a recursive query may produce, and rows one decoding query reads.
 QUERY_ROWS = 2_000_000
 DECODE_ROWS = 1_000_000
 # Fixed value: what the rank files' pattern calls white space.
 _SPACE = r"\t-\r\x20\x85\xa0  -     　"
 
+# Per word, the lowest (rank, place) of its token pairs is contracted; words without one drop out.
+_CONTRACT_SHORT = """
+WITH RECURSIVE merging(step, word, tokens) AS (
+  SELECT 0, word, tokens FROM start
+  UNION ALL
+  SELECT any_value(step) + 1, word,
+    any_value(tokens)[:(min(rank_place) & 4294967295) - 1] || [(min(rank_place) >> 32)::INTEGER]
+      || any_value(tokens)[(min(rank_place) & 4294967295) + 2:]
+  FROM (
+    SELECT step, word, tokens, m.merged::BIGINT * 4294967296 + place AS rank_place
+    FROM (
+      SELECT step, word, tokens, unnest(tokens[:-2]) AS token, unnest(tokens[2:]) AS following, unnest(range(1, len(tokens))) AS place
+      FROM merging
+    ) p JOIN merges m ON m.first = p.token AND m.second = p.following
+  )
+  GROUP BY word
+)
+SELECT word, tokens FROM merging QUALIFY step = max(step) OVER (PARTITION BY word)
+"""
+
 _CONTRACT = """
 WITH RECURSIVE merging(step, word, pos, token) AS (
   SELECT 0, word, pos, token FROM start
@@ -124,17 +146,29 @@ class BytePairs:
 
     def _encode_words(self, words: list[bytes]) -> list[list[int]]:
         found = [[self._ranks[w]] if w in self._ranks else None for w in words]
-        batch, held = [], 0
-        for number, word in enumerate(words):
-            if found[number] is None:
-                batch.append(number)
-                held += len(word)
-                if held * 8 >= self._rows:
-                    self._merge(batch, words, found)
-                    batch, held = [], 0
-        self._merge(batch, words, found)
+        for merge, chosen in ((self._merge_short, True), (self._merge, False)):
+            batch, held = [], 0
+            for number, word in enumerate(words):
+                if found[number] is None and (len(word) <= SHORT) == chosen:
+                    batch.append(number)
+                    held += len(word)
+                    if held * 4 >= self._rows:
+                        merge(batch, words, found)
+                        batch, held = [], 0
+            merge(batch, words, found)
         return found
 
+    def _merge_short(self, batch: list[int], words: list[bytes], found: list) -> None:
+        if not batch:
+            return
+        ends = np.cumsum([len(words[n]) for n in batch])
+        tokens = self._byte[np.frombuffer(b"".join(words[n] for n in batch), np.uint8)]
+        start = pa.table({"word": pa.array(batch, pa.int32()), "tokens": id_lists(tokens, ends)})
+        self._db.register("start", start)
+        for number, ids in self._db.execute(_CONTRACT_SHORT).fetchall():
+            found[number] = ids
+        self._db.unregister("start")
+
     def _merge(self, batch: list[int], words: list[bytes], found: list) -> None:
         if not batch:
             return
