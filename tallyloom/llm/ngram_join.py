@@ -193,7 +193,7 @@ def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` whose document is the first of its class, and rows without an id."""
     kept = classified(docs, **options).where("kept").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & F.md5("text").eqNullSafe(F.col("__key"))
-    return docs.join(stored(kept), same, "left_semi")
+    return docs.join(stored(kept).hint("merge"), same, "left_semi")
 
 
 def classified(
@@ -258,7 +258,9 @@ def _links_in_groups(docs: DataFrame, members: DataFrame, n: int, threshold: flo
 
     # One document of each class supplies its text.
     one = docs.select("doc_id", "text", F.md5("text").alias("text_key")).join(
-        members.select(F.col("text_class").alias("doc_id"), F.col("node").alias("text_key")), ["doc_id", "text_key"], "left_semi"
+        # Candidates grow with the corpus: the same plan at every size.
+        members.select(F.col("text_class").alias("doc_id"), F.col("node").alias("text_key")).hint("merge"),
+        ["doc_id", "text_key"], "left_semi",
     )
     sets = stored(one.select("text_key", "text").mapInArrow(grams, "node string, size long, grams array<long>"))
     sized = sets.select("node", "size").distinct().join(members, "node").select("root", "node", "copies", "size")
