@@ -3,7 +3,8 @@
 Documents are range-partitioned and sorted by id before they are encoded, so file, stripe and
 row order are id order, and the min/max of every stripe and row group covers a narrow range of
 ids.  Ids are integers, which ORC run-length encodes; a Bloom filter on ``doc_id`` serves
-lookups of single documents.  Every row knows its shard and the number of ids before it there.
+lookups of single documents.  Every row knows its shard, the number of ids before it there, and its own,
+so the start of a document needs no column of ids to be read.
 
 Defined cases: null and empty texts hold the end id alone; null ids come first; rows that
 repeat an id stay separate rows, in the order of their texts' hashes; an empty table gives files
@@ -37,6 +38,7 @@ FILE_SCHEMA = T.StructType(
         T.StructField("doc_id", T.LongType()),
         T.StructField("shard", T.IntegerType()),
         T.StructField("shard_start", T.LongType()),
+        T.StructField("n_ids", T.LongType()),
         T.StructField("ids", T.ArrayType(T.IntegerType())),
     ]
 )
@@ -73,9 +75,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
                 yield pa.RecordBatch.from_arrays(
                     [
                         names.slice(first, len(texts)), pa.array(np.full(len(texts), shard, np.int32)),
-                        pa.array(starts), id_lists(ids, ends),
+                        pa.array(starts), pa.array(np.diff(ends, prepend=0)), id_lists(ids, ends),
                     ],
-                    ["doc_id", "shard", "shard_start", "ids"],
+                    ["doc_id", "shard", "shard_start", "n_ids", "ids"],
                 )
 
     keys = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc()]
@@ -89,10 +91,11 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
 
 def document_starts(tokens: DataFrame) -> DataFrame:
     """Adds ``start``, the number of ids in all documents before; the window holds a row per file."""
-    sizes = tokens.groupBy("shard").agg(F.sum(F.size("ids").cast("long")).alias("__ids"))
+    sizes = tokens.groupBy("shard").agg(F.sum("n_ids").alias("__ids"))
     before = W.orderBy("shard").rowsBetween(W.unboundedPreceding, -1)
     bases = sizes.select("shard", F.coalesce(F.sum("__ids").over(before), F.lit(0)).alias("__base"))
-    return tokens.join(bases, "shard").withColumn("start", F.col("__base") + F.col("shard_start")).drop("__base")
+    # One row per file; without the hint the ids would be shuffled to meet it.
+    return tokens.join(F.broadcast(bases), "shard").withColumn("start", F.col("__base") + F.col("shard_start")).drop("__base")
 
 
 DIGEST_SCHEMA = "doc_id long, start long, n_tokens long, ids_crc32 long"
