@@ -7,10 +7,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from ..functions.bands import as_percent, band_position, complexity_band
-from ..session import materialize
+from ..session import materialize, stored
 from .ngrams import (
     FittedNGramModel,
     NGramModel,
@@ -24,16 +23,11 @@ from .ngrams import (
     smoothed_probability,
     vocabulary_size,
 )
-from .ordinals import with_ordinal
+from .ordinals import join_on, with_ordinal
 
-# Stand-in for ln(0), and how much of a padded sequence accuracy looks at.
+# Fixed value: stand-in for ln(0).
 ZERO_PROBABILITY = 1e-10
-MAX_PADDED_LENGTH = 50
 TOP = (1, 3, 5)
-# Rows scored by the configuration grid, per complexity band, and at the end.
-PERPLEXITY_ROWS, ACCURACY_ROWS, BAND_ROWS, LARGE_SCALE_ROWS = 500, 200, 50, 1000
-# Largest n for which a top-N (n rows per task, then one task) is the right plan.
-TOP_N_LIMIT = 100_000
 
 
 @dataclass(frozen=True)
@@ -64,18 +58,30 @@ def select_split(df: DataFrame, split: str) -> DataFrame:
 
 
 def head_n(df: DataFrame, n: int | None, order: str = "row_ord") -> DataFrame:
-    """The first ``n`` rows; all of them for ``None``."""
+    """The first ``n`` rows; all of them for ``None``.  ``order`` must tell rows apart.
+
+    Only the order is numbered; rows are then compared with the last one that is in, a single
+    value, so the plan is the same for every ``n`` and no row is moved.
+    """
     if n is None:
         return df
-    if n <= TOP_N_LIMIT:
-        return df.orderBy(order).limit(n)
-    return with_ordinal(df, [F.col(order)], name="__no").where(F.col("__no") <= n).drop("__no")
+    if n <= 0:
+        return df.limit(0)
+    last = with_ordinal(df.select(order), [F.col(order)], name="__no").where(F.col("__no") <= n)
+    return df.where(F.col(order) <= F.lit(last.agg(F.max(order)).first()[0]))
 
 
-def head_per_group(df: DataFrame, group: str, n: int = BAND_ROWS, order: str = "row_ord") -> DataFrame:
-    """The first ``n`` rows of each group; every task keeps at most n rows per group."""
-    place = F.row_number().over(W.partitionBy(group).orderBy(order))
-    return df.withColumn("__no", place).where(F.col("__no") <= n).drop("__no")
+def head_per_group(df: DataFrame, group: str, n: int | None = None, order: str = "row_ord") -> DataFrame:
+    """The first ``n`` rows of each group; all of them for ``None``.  ``order`` must tell rows apart.
+
+    Groups and orders are numbered without sorting a group in one task.  The last order that
+    is in, one row per group, then filters the rows where they are.
+    """
+    if n is None:
+        return df
+    numbered = with_ordinal(df.select(group, order), [F.col(order)], [group], "__no").where(F.col("__no") <= n)
+    last = stored(numbered.groupBy(group).agg(F.max(order).alias("__last")))
+    return join_on(df, last, [group]).where(F.col(order) <= F.col("__last")).drop("__last")
 
 
 def _log_probability(p: Column) -> Column:
@@ -91,9 +97,9 @@ def _hits(weight: Column, place: Column, k: int) -> Column:
     return F.coalesce(F.sum(F.when(place.between(1, k), weight)), F.lit(0))
 
 
-def _within_accuracy_limit(n: Column | int) -> Column:
-    """The limit counts padding, so longer contexts leave fewer positions."""
-    return F.col("pos") <= F.lit(MAX_PADDED_LENGTH + 1) - n
+def _within(max_positions: int | None, n: Column | int) -> Column:
+    """A limit on positions of the padded sequence; longer contexts leave fewer of them."""
+    return F.lit(True) if max_positions is None else F.col("pos") <= F.lit(max_positions + 1) - n
 
 
 def contexts_of(df: DataFrame, n: int | Sequence[int], tokens: str = "code_tokens") -> DataFrame:
@@ -123,15 +129,16 @@ def perplexity(
 
 def topk_accuracy(
     model: FittedNGramModel, df: DataFrame, max_samples: int | None = None,
-    by: Sequence[str] = (), tokens: str = "code_tokens", order: str = "row_ord",
+    by: Sequence[str] = (), tokens: str = "code_tokens", order: str = "row_ord", max_positions: int | None = None,
 ) -> DataFrame:
     """Share of positions whose token is among the 1, 3 or 5 best candidates.
 
     Only positions with a context seen in training count.  ``by`` scores groups of rows.
+    All rows and positions are scored unless the caller limits either.
     """
     pairs = (
         extract_ngrams(head_n(df, max_samples, order), model.n, tokens, by)
-        .where(_within_accuracy_limit(model.n))
+        .where(_within(max_positions, model.n))
         .groupBy(*by, "n", "ctx", "nxt")
         .agg(F.count(F.lit(1)).alias("w"))
     )
@@ -152,17 +159,18 @@ def topk_accuracy(
 
 
 def accuracy_by_complexity(
-    model: FittedNGramModel, test: DataFrame, rows_per_band: int = BAND_ROWS,
+    model: FittedNGramModel, test: DataFrame, rows_per_band: int | None = None,
     complexity: str = "metrics_cyclomatic_complexity", tokens: str = "code_tokens", order: str = "row_ord",
+    max_positions: int | None = None,
 ) -> DataFrame:
     """Rows and accuracy in percent for each complexity band that has test rows."""
     banded = test.withColumn("complexity", complexity_band(F.col(complexity))).where(
         F.col("complexity").isNotNull()
     )
-    # At most rows_per_band rows for each of the four bands.
-    rows = head_per_group(banded, "complexity", rows_per_band, order)
+    # Read twice: for the number of rows, and for the accuracy.
+    rows = stored(head_per_group(banded.select(order, tokens, "complexity"), "complexity", rows_per_band, order))
     samples = rows.groupBy("complexity").agg(F.count(F.lit(1)).alias("samples"))
-    accuracy = topk_accuracy(model, rows, by=["complexity"], tokens=tokens, order=order)
+    accuracy = topk_accuracy(model, rows, by=["complexity"], tokens=tokens, order=order, max_positions=max_positions)
     percent = [
         as_percent(F.coalesce(f"top{k}_accuracy", F.lit(0.0))).alias(f"top{k}_acc") for k in (1, 5)
     ]
@@ -173,21 +181,24 @@ def accuracy_by_complexity(
     )
 
 
-def large_scale_eval(model: FittedNGramModel, test: DataFrame, rows: int = LARGE_SCALE_ROWS) -> DataFrame:
-    """A13 on the first 1,000 test rows."""
-    return topk_accuracy(model, test, rows)
+def large_scale_eval(
+    model: FittedNGramModel, test: DataFrame, rows: int | None = None, max_positions: int | None = None
+) -> DataFrame:
+    """A13 on all test rows, or the first ``rows`` of them."""
+    return topk_accuracy(model, test, rows, max_positions=max_positions)
 
 
 def score_grid(
     train: DataFrame,
     test: DataFrame,
     configurations: Sequence[Configuration] = CONFIGURATIONS,
-    perplexity_rows: int | None = PERPLEXITY_ROWS,
-    accuracy_rows: int | None = ACCURACY_ROWS,
+    perplexity_rows: int | None = None,
+    accuracy_rows: int | None = None,
     tokens: str = "code_tokens",
     order: str = "row_ord",
+    max_positions: int | None = None,
 ) -> DataFrame:
-    """Perplexity and accuracy of every configuration.
+    """Perplexity and accuracy of every configuration, over all rows and positions by default.
 
     The test rows are known, so only their contexts matter.  One pass over the training
     rows emits the windows of all sizes that have such a context.  One aggregation then
@@ -202,14 +213,14 @@ def score_grid(
     def in_first(rows: int | None) -> Column:
         if rows == widest:
             return F.lit(True)
-        last = head_n(scored, rows, order).agg(F.max(order).alias("last"))
-        return F.coalesce(F.col(order) <= last.scalar(), F.lit(False))
+        last = head_n(scored, rows, order).agg(F.max(order)).first()[0]
+        return F.coalesce(F.col(order) <= F.lit(last), F.lit(False))
 
     positions = extract_ngrams(scored, sizes, tokens, [order])
     pairs = materialize(
         positions.groupBy("n", "ctx", "nxt").agg(
             F.count_if(in_first(perplexity_rows)).alias("w"),
-            F.count_if(in_first(accuracy_rows) & _within_accuracy_limit(F.col("n"))).alias("w_acc"),
+            F.count_if(in_first(accuracy_rows) & _within(max_positions, F.col("n"))).alias("w_acc"),
         )
     )
     none = F.lit(0).cast("bigint")
@@ -219,7 +230,7 @@ def score_grid(
         first_seen(F.col(order), F.col("pos")).alias("first_seen"), none.alias("w"), none.alias("w_acc"),
     )
     asked = pairs.select(
-        "n", "ctx", "nxt", none.alias("c"), F.lit(None).cast("bigint").alias("first_seen"), "w", "w_acc"
+        "n", "ctx", "nxt", none.alias("c"), F.lit(None).cast("decimal(38,0)").alias("first_seen"), "w", "w_acc"
     )
     merged = materialize(
         seen.unionByName(asked)
@@ -240,7 +251,9 @@ def score_grid(
     )
     # Few distinct (c, ct, place) remain, whatever the number of positions.
     profile = looked_up.groupBy("n", "c", "ct", "place").agg(F.sum("w").alias("w"), F.sum("w_acc").alias("w_acc"))
-    size = F.lit(vocabulary_size(train, max(sizes), tokens).first()["v"])
+    # Without a context there is no start sentinel, so n = 1 has a vocabulary of its own.
+    known = {n: vocabulary_size(train, n, tokens).first()["v"] for n in {min(s, 2) for s in sizes}}
+    size = F.when(F.col("n") == 1, F.lit(known.get(1))).otherwise(F.lit(known.get(2)))
     settings = F.array(
         *[
             F.struct(

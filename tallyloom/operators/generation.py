@@ -6,13 +6,12 @@ from collections.abc import Callable, Sequence
 from functools import reduce
 from typing import TYPE_CHECKING
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from ..functions.bands import format_predictions
 from ..functions.randomness import uniform
-from ..session import materialize
+from ..session import scratch_path, stored
 from .ngrams import END, fit_context
 
 if TYPE_CHECKING:
@@ -25,6 +24,8 @@ MIN_CONTEXT, MAX_CONTEXT = 3, 10
 TOP_CANDIDATES = 5
 STOP_TOKENS = ("}", ";")
 MAX_COMPLETION = 50
+# Buckets of the candidate table: as many as a long has bits.
+BUCKETS = 64
 
 
 def min_prompt_length(tokens: str = "code_tokens", minimum: int = MIN_CONTEXT) -> Column:
@@ -120,31 +121,25 @@ def sample_next(candidates: Column, draw: Column) -> Column:
     return F.when((F.size(candidates) > 0) & (everything > 0), chosen)
 
 
-def _stepper(n: int, seed: int, row_id: str) -> Lookup:
-    """One token for every prompt that is still being completed."""
-    waiting = F.when(F.col("active"), F.col("context")).otherwise(F.array().cast("array<string>"))
-    look_up = _backoff(row_id, ["context", "generated", "steps", "active"], waiting, n)
-    offered = F.col("active") & F.col("candidates").isNotNull()
-    # The number of candidate lists so far is the number of the step.
-    draw = uniform(f"{seed}:step", F.size("steps"), F.col(row_id))
-    token = F.when(offered, sample_next(F.col("candidates"), draw)).alias("__token")
-    emitted = F.col("__token").isNotNull() & (F.col("__token") != END)
-    goes_on = emitted & ~F.col("__token").isin(*STOP_TOKENS)
-    new = F.array("__token")
-    longer = F.concat("context", new)
-    shortened = F.slice(longer, F.greatest(F.size(longer) - (n - 2), F.lit(1)), n - 1) if n > 1 else longer
-    updated = [
-        F.col(row_id),
-        F.when(goes_on, shortened).otherwise(F.col("context")).alias("context"),
-        F.when(emitted, F.concat("generated", new)).otherwise(F.col("generated")).alias("generated"),
-        F.when(offered, F.concat("steps", F.array("candidates"))).otherwise(F.col("steps")).alias("steps"),
-        goes_on.alias("active"),
-    ]
+def _touched(tail: Column, n: int) -> Column:
+    """Bits of the buckets in which the contexts tried for a prompt may lie."""
+    one = F.lit(1).cast("bigint")
+    return F.aggregate(
+        backoff_tries(tail, n), F.lit(0).cast("bigint"),
+        lambda bits, t: bits.bitwiseOR(F.call_function("shiftleft", one, bucket_of(t["ctx"]))),
+    )
+
+
+def bucket_of(ctx: Column) -> Column:
+    return F.pmod(F.xxhash64(ctx), F.lit(BUCKETS)).cast("int")
 
-    def step(state: DataFrame, candidates: DataFrame) -> DataFrame:
-        return look_up(state, candidates).select("*", token).select(*updated)
 
-    return step
+def lay_out_candidates(model: FittedNGramModel) -> DataFrame:
+    """The model's best continuations as a table in the shared folder, by bucket of the context's hash."""
+    path = scratch_path(model.counts.sparkSession)
+    listed = model.candidates(TOP_CANDIDATES).select("ctx", "candidates", bucket_of(F.col("ctx")).alias("bucket"))
+    listed.repartitionByRange("bucket", "ctx").write.partitionBy("bucket").parquet(path)
+    return model.counts.sparkSession.read.schema(listed.schema).parquet(path)
 
 
 def complete(
@@ -153,35 +148,67 @@ def complete(
 ) -> DataFrame:
     """Sample a continuation of every prompt, one token per step for all of them.
 
-    Adds ``completion`` (tokens) and ``steps`` (the candidates offered at each step).  The
-    candidate table is laid out by context once and merged with as it lies: each step moves
-    only the prompts still open.  After each step the state is written, which ends its
-    lineage, and finished prompts are set aside.  A lost part of the cached candidates is
-    laid out again from the counts, which are in the checkpoint folder.
+    Adds ``completion`` (tokens) and ``steps`` (the candidates offered at each step).
+    ``max_length`` bounds the output and is part of what is asked for.
+
+    A step carries only ids and the last n-1 tokens of the prompts still open.  It looks up
+    their distinct contexts, reading only buckets of the candidate table in which one of
+    them may lie, and meets the prompts with what was found; a context that very many
+    prompts share is split there.  Each step's rows are written once; the number of open
+    prompts and the buckets of the next step are observed while they are.
     """
-    by_context = model.candidates(TOP_CANDIDATES).select("ctx", "candidates").repartition("ctx")
-    candidates = by_context.sortWithinPartitions("ctx").persist(StorageLevel.MEMORY_AND_DISK)
-    no_steps = F.array().cast("array<array<struct<token:string,prob:double>>>")
-    state = prompts.select(
-        row_id,
-        F.col(context).alias("context"),
-        F.array().cast("array<string>").alias("generated"),
-        no_steps.alias("steps"),
-        F.lit(True).alias("active"),
-    )
-    finished: list[DataFrame] = []
-    step, laid_out = _stepper(model.n, seed, row_id), candidates.hint("merge")
-    for _ in range(max_length):
-        state = materialize(step(state, laid_out))
-        finished.append(state.where(~F.col("active")))
-        state = state.where("active")
-        if state.isEmpty():
-            break
-    completed = materialize(reduce(DataFrame.unionByName, finished, state))
-    candidates.unpersist()
-    return prompts.join(
-        completed.select(row_id, F.col("generated").alias("completion"), "steps"), row_id, "left"
-    )
+    spark, n = prompts.sparkSession, model.n
+    candidates = lay_out_candidates(model)
+    width = max(n - 1, 1)
+    last = lambda tokens: F.slice(tokens, F.greatest(F.size(tokens) - (width - 1), F.lit(1)), width)
+    root = scratch_path(spark)
+
+    def write(rows: DataFrame, open_: Column, name: str) -> tuple[int, int]:
+        seen = Observation()
+        bits = F.bit_or(F.when(open_, _touched(F.col("tail"), n)))
+        rows.observe(seen, F.count_if(open_).alias("open"), bits.alias("bits")).write.parquet(f"{root}/{name}")
+        return seen.get["open"], (seen.get["bits"] or 0) % (1 << 64)
+
+    start = prompts.select(row_id, last(F.col(context)).alias("tail"))
+    left, bits = write(start, F.lit(True), "start")
+    state = spark.read.schema(start.schema).parquet(f"{root}/start")
+    made, step = [], 0
+    while left and step < max_length:
+        tries = state.select(row_id, "tail", F.inline(backoff_tries(F.col("tail"), n)))
+        near = candidates.where(F.col("bucket").isin([b for b in range(BUCKETS) if bits >> b & 1]))
+        found = stored(tries.select("ctx").distinct().join(near.select("ctx", "candidates"), "ctx"))
+        best = tries.join(found, "ctx").groupBy(row_id).agg(
+            F.min_by("candidates", "level").alias("candidates"), F.any_value("tail").alias("tail")
+        )
+        token = sample_next(F.col("candidates"), uniform(f"{seed}:step", F.lit(step), F.col(row_id)))
+        emitted = F.col("token").isNotNull() & (F.col("token") != END)
+        rows = (
+            best.withColumn("token", token)
+            .withColumn("token", F.when(emitted, F.col("token")))
+            .withColumn("goes_on", F.coalesce(~F.col("token").isin(*STOP_TOKENS), F.lit(False)))
+            .select(row_id, F.lit(step).alias("step"), "token", "candidates", "goes_on",
+                    F.when(F.col("goes_on"), last(F.concat("tail", F.array("token")))).alias("tail"))
+        )
+        left, bits = write(rows, F.col("goes_on"), f"step-{step}")
+        written = spark.read.schema(rows.schema).parquet(f"{root}/step-{step}")
+        made.append(written.select(row_id, "step", "token", "candidates"))
+        state = written.where("goes_on").select(row_id, "tail")
+        step += 1
+    if not made:
+        kind = candidates.schema["candidates"].dataType.simpleString()
+        return prompts.withColumn("completion", F.array().cast("array<string>")).withColumn(
+            "steps", F.array().cast(f"array<{kind}>")
+        )
+    every = F.sort_array(F.collect_list(F.struct("step", "token", "candidates")))
+    gathered = reduce(DataFrame.unionByName, made).groupBy(row_id).agg(every.alias("__steps"))
+    completed = prompts.join(gathered, row_id, "left")
+    steps = F.coalesce("__steps", F.array())
+    return completed.withColumn("completion", F.filter(F.transform("__steps", lambda s: s["token"]), lambda t: t.isNotNull())).withColumns(
+        {
+            "completion": F.coalesce("completion", F.array().cast("array<string>")),
+            "steps": F.transform(steps, lambda s: s["candidates"]),
+        }
+    ).drop("__steps")
 
 
 def prediction_rows(

@@ -16,7 +16,6 @@ from .ordinals import first_in_order, join_on, with_ordinal
 LANGUAGE = "java"
 MIN_STARS = 5000
 CHUNK_SIZE = 5000
-METHODS_TO_MINE = 500_000
 RECORD_LANGUAGE = "Java"
 
 
@@ -153,15 +152,17 @@ def build_record(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 def mining_cap(
     df: DataFrame,
-    n: int = METHODS_TO_MINE,
+    n: int | None,
     repo_order: Sequence[Column] = (),
     repo: Sequence[str] = ("repo_url",),
     order: Sequence[Column] = (),
 ) -> DataFrame:
-    """The first ``n`` methods in traversal order, repository by repository.
+    """The first ``n`` methods in traversal order, repository by repository; all for ``None``.
 
     ``repo`` names the columns ``repo_order`` sorts by; ``order`` sorts inside a repository.
     """
+    if n is None:
+        return df
     return first_in_order(df, n, repo, repo_order or [F.col(r).asc() for r in repo], order)
 
 

@@ -15,13 +15,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 from pyspark.sql import WindowSpec
 
-from ..session import materialize
+from ..session import materialize, stored
 
 # The sentinels of a padded sequence.
 START, END = "<START>", "<END>"
 SMOOTHINGS = ("none", "laplace", "add-k")
-# Bits of ``first_seen`` that hold the position inside a sequence.
-_POSITION_BITS = 24
+# Arrays hold fewer positions than this, so ``first_seen`` packs any row order with any position.
+_POSITIONS = 1 << 31
+_PACKED = "decimal(38,0)"
 
 
 def pad(tokens: Column, n: int) -> Column:
@@ -69,13 +70,12 @@ def extract_ngrams(
 
 
 def first_seen(order: Column, pos: Column) -> Column:
-    """Row order and position packed into one long, so that the minimum stays a hash aggregate."""
-    limit = 1 << _POSITION_BITS
-    fits = (pos < limit) & (order >= 0) & (order < (1 << (63 - _POSITION_BITS)))
-    packed = order.cast("bigint") * limit + pos
-    return F.when(fits, packed).otherwise(
-        F.raise_error(F.lit("row order or token position too large to pack")).cast("bigint")
-    )
+    """Row order and position packed into one number, so that the minimum stays a hash aggregate.
+
+    The decimal holds every 64-bit order with every position.  Rows without an order give null.
+    """
+    packed = order.cast("bigint").cast(_PACKED) * F.lit(_POSITIONS).cast(_PACKED) + pos.cast(_PACKED)
+    return packed.cast(_PACKED)
 
 
 def count_ngrams(ngrams: DataFrame, order: str = "row_ord") -> DataFrame:
@@ -132,7 +132,7 @@ def lookup_counts(pairs: DataFrame, counts: DataFrame, totals: DataFrame) -> Dat
 
 def _best_first() -> WindowSpec:
     """Both ranking steps use this window, so the rows are sorted once."""
-    return W.partitionBy("n", "ctx").orderBy(F.desc("c"), F.asc("first_seen"))
+    return W.partitionBy("n", "ctx").orderBy(F.desc("c"), F.asc_nulls_last("first_seen"), F.asc("nxt"))
 
 
 def next_token_topk(counts: DataFrame, k: int = 5) -> DataFrame:
@@ -191,36 +191,32 @@ class NGramModel:
         if contexts is not None:
             ngrams = restrict_to_contexts(ngrams, contexts)
         counts = materialize(count_ngrams(ngrams, order))
-        return FittedNGramModel(self, counts, vocabulary_size(df, self.n, tokens))
-
-
-# Number of contexts up to which their hashes (one long each) go to every executor.
-BROADCAST_CONTEXTS = 4_000_000
+        return FittedNGramModel(self, counts, vocabulary_size(df, self.n, tokens), contexts is not None)
 
 
 def restrict_to_contexts(ngrams: DataFrame, contexts: DataFrame) -> DataFrame:
     """Windows whose (n, ctx) is asked for, and possibly a few others.
 
-    What is broadcast is the set of the contexts' hashes, so a window whose context shares
-    a hash with another may stay too; contexts themselves are compared later.  The set is
-    counted first.  Where it is too large to broadcast, a join would shuffle the raw
-    windows, which costs more than counting them all: then nothing is dropped.
+    Windows meet the set of the contexts' hashes, so a window whose context shares a hash
+    with another may stay too; contexts themselves are compared later.  The set is stored,
+    so its size is known, and Spark picks how to join by that size.
     """
     key = F.xxhash64("n", "ctx").alias("__context")
-    wanted = materialize(contexts.select(key).distinct())
-    if wanted.count() > BROADCAST_CONTEXTS:
-        return ngrams
-    kept = ngrams.withColumn("__context", key).join(F.broadcast(wanted), "__context", "left_semi")
-    return kept.drop("__context")
+    wanted = stored(contexts.select(key).distinct())
+    return ngrams.withColumn("__context", key).join(wanted, "__context", "left_semi").drop("__context")
 
 
 @dataclass(frozen=True)
 class FittedNGramModel:
-    """A trained model: ``counts(n, ctx, nxt, c, first_seen)`` and ``vocabulary(v)``."""
+    """A trained model: ``counts(n, ctx, nxt, c, first_seen)`` and ``vocabulary(v)``.
+
+    A ``restricted`` model knows only the contexts it was fitted for.
+    """
 
     settings: NGramModel
     counts: DataFrame
     vocabulary: DataFrame
+    restricted: bool = False
 
     @property
     def n(self) -> int:
@@ -271,7 +267,9 @@ class FittedNGramModel:
         return complete(self, prompts, max_length, seed, **names)
 
     def save(self, path: str) -> None:
-        """Write the tables as Parquet under ``path``, counts by n."""
+        """Write the tables as Parquet under ``path``, counts by n; a restricted model refuses."""
+        if self.restricted:
+            raise ValueError("this model holds only some contexts; fit it without contexts to save it")
         self.counts.write.partitionBy("n").mode("overwrite").parquet(f"{path}/counts")
         self.vocabulary.write.mode("overwrite").parquet(f"{path}/vocabulary")
 

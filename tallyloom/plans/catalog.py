@@ -35,6 +35,9 @@ LANGUAGE = "automobile"
 SAMPLE_SIZE, SAMPLE_TRAIN, SAMPLE_TEST = 200, 160, 40
 CHUNK, CAP = 100, 5000
 PAGE_BRANCHES = ("li", "p", "h1")
+# Small limits for the queries that show what a limit does, and the grid with a size of one.
+FIRST_ROWS, FIRST_POSITIONS, FIRST_PER_BAND = 20, 10, 5
+GRID_CONFIGURATIONS = (*E.CONFIGURATIONS, E.Configuration(1, "laplace"), E.Configuration(1, "none"))
 
 
 def query(name: str) -> Callable[[Query], Query]:
@@ -509,12 +512,12 @@ def _(spark, sf):
 
 @query("a9_ngram_counts_n3")
 def _(spark, sf):
-    return N.ngram_counts(D.train_rows(spark, sf), 3)
+    return N.ngram_counts(D.train_rows(spark, sf), 3).withColumn("first_seen", F.col("first_seen").cast("bigint"))
 
 
 @query("a9_ngram_counts_n1")
 def _(spark, sf):
-    return N.ngram_counts(D.train_rows(spark, sf), 1)
+    return N.ngram_counts(D.train_rows(spark, sf), 1).withColumn("first_seen", F.col("first_seen").cast("bigint"))
 
 
 @query("a10_context_totals_n5")
@@ -553,11 +556,15 @@ def _(spark, sf):
 @query("j2_n3_score")
 def _(spark, sf):
     model = model_for_test(spark, sf, N.NGramModel(3))
-    pairs = N.extract_ngrams(D.test_rows(spark, sf), 3).select("ctx", "nxt").distinct()
-    for name, smoothing, k in (("none", "none", 1.0), ("laplace", "laplace", 1.0), ("add_k", "add-k", 0.1)):
-        scored = model.with_smoothing(smoothing, k)
-        pairs = scored.score(pairs).withColumnRenamed("p", f"p_{name}").drop("n", *(["c", "ct"] if name != "add_k" else []))
-    return pairs
+    pairs = N.extract_ngrams(D.test_rows(spark, sf), 3).select("n", "ctx", "nxt").distinct()
+    found = N.lookup_counts(pairs, model.counts, model.totals)
+    return found.select(
+        "ctx", "nxt", "c", "ct",
+        *[
+            model.with_smoothing(smoothing, k).probability(F.col("c"), F.col("ct")).alias(f"p_{name}")
+            for name, smoothing, k in (("none", "none", 1.0), ("laplace", "laplace", 1.0), ("add_k", "add-k", 0.1))
+        ],
+    )
 
 
 @query("j3_lookup_topk")
@@ -588,6 +595,18 @@ def _(spark, sf):
     return E.topk_accuracy(model_for_test(spark, sf, N.NGramModel(5)), D.test_rows(spark, sf))
 
 
+@query("a13_topk_accuracy_first")
+def _(spark, sf):
+    model = model_for_test(spark, sf, N.NGramModel(5))
+    return E.topk_accuracy(model, D.test_rows(spark, sf), FIRST_ROWS, max_positions=FIRST_POSITIONS)
+
+
+@query("a14_accuracy_first")
+def _(spark, sf):
+    model = model_for_test(spark, sf, N.NGramModel(5))
+    return E.accuracy_by_complexity(model, D.test_rows(spark, sf), FIRST_PER_BAND, max_positions=FIRST_POSITIONS)
+
+
 @query("a14_accuracy_by_complexity")
 def _(spark, sf):
     model = model_for_test(spark, sf, N.NGramModel(5))
@@ -595,7 +614,7 @@ def _(spark, sf):
 
 
 def grid(spark: SparkSession, sf: str) -> DataFrame:
-    return E.score_grid(D.train_rows(spark, sf), D.test_rows(spark, sf))
+    return E.score_grid(D.train_rows(spark, sf), D.test_rows(spark, sf), GRID_CONFIGURATIONS)
 
 
 @query("a15_score_grid")
@@ -603,6 +622,12 @@ def _(spark, sf):
     return grid(spark, sf)
 
 
+@query("a15_score_grid_first")
+def _(spark, sf):
+    train, test = D.train_rows(spark, sf), D.test_rows(spark, sf)
+    return E.score_grid(train, test, GRID_CONFIGURATIONS, FIRST_ROWS, FIRST_ROWS, max_positions=FIRST_POSITIONS)
+
+
 @query("a16_best_configs")
 def _(spark, sf):
     return E.best_configs(grid(spark, sf))
@@ -614,9 +639,15 @@ def _(spark, sf):
     return E.large_scale_eval(model, D.test_rows(spark, sf))
 
 
+@query("a17_large_scale_first")
+def _(spark, sf):
+    model = model_for_test(spark, sf, N.NGramModel(11))
+    return E.large_scale_eval(model, D.test_rows(spark, sf), FIRST_ROWS, FIRST_POSITIONS)
+
+
 @query("t2_head_n")
 def _(spark, sf):
-    return E.head_n(D.test_rows(spark, sf).select("row_ord"), E.ACCURACY_ROWS)
+    return E.head_n(D.test_rows(spark, sf).select("row_ord"), FIRST_ROWS)
 
 
 @query("w6_head_per_group")
@@ -624,16 +655,15 @@ def _(spark, sf):
     rows = D.test_rows(spark, sf).select(
         "row_ord", bands.complexity_band(F.col("metrics_cyclomatic_complexity")).alias("complexity")
     )
-    return E.head_per_group(rows, "complexity")
+    return E.head_per_group(rows, "complexity", FIRST_PER_BAND)
 
 
 # --- generation ---------------------------------------------------------------------------
 
 
 def prompts(spark: SparkSession, sf: str) -> DataFrame:
-    """Prompts of the first 1,000 test rows."""
-    rows = E.head_n(D.test_rows(spark, sf), E.LARGE_SCALE_ROWS)
-    return G.make_prompts(rows).select("row_ord", "context")
+    """Prompts of all test rows."""
+    return G.make_prompts(D.test_rows(spark, sf)).select("row_ord", "context")
 
 
 def final_model(spark: SparkSession, sf: str) -> N.FittedNGramModel:
@@ -641,8 +671,7 @@ def final_model(spark: SparkSession, sf: str) -> N.FittedNGramModel:
 
 
 def predictions(spark: SparkSession, sf: str) -> DataFrame:
-    rows = E.head_n(D.test_rows(spark, sf), E.LARGE_SCALE_ROWS)
-    return G.prediction_rows(final_model(spark, sf), rows)
+    return G.prediction_rows(final_model(spark, sf), D.test_rows(spark, sf))
 
 
 @query("n6_make_prompts")

@@ -48,7 +48,7 @@ def mine(
     since: datetime,
     to: datetime,
     root: str,
-    methods_to_mine: int = M.METHODS_TO_MINE,
+    methods_to_mine: int | None = None,
     chunk_size: int = M.CHUNK_SIZE,
     **search: object,
 ) -> DataFrame:

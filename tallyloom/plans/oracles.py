@@ -6,7 +6,10 @@ from ..functions import patterns as P
 from ..operators import evaluation as E
 from ..operators import generation as G
 from . import standins as D
-from .catalog import CAP, CHUNK, LANGUAGE, PAGE_BRANCHES, PUSHED_SINCE, PUSHED_TO, SAMPLE_SIZE, SAMPLE_TEST, SAMPLE_TRAIN, SINCE, TO
+from .catalog import (
+    CAP, CHUNK, FIRST_PER_BAND, FIRST_POSITIONS, FIRST_ROWS, GRID_CONFIGURATIONS, LANGUAGE, PAGE_BRANCHES, PUSHED_SINCE, PUSHED_TO,
+    SAMPLE_SIZE, SAMPLE_TEST, SAMPLE_TRAIN, SINCE, TO,
+)
 
 ORACLES: dict[str, str] = {}
 
@@ -118,7 +121,7 @@ def counts(n: int, suffix: str = "") -> str:
     """Counts, totals and the ranked five best continuations of the training rows."""
     s = suffix
     return f"""{grams(n, 'train' + s, "dataset_split = 'train'")},
-  counts{s} AS (SELECT ctx, nxt, count(*) AS c, min(row_ord * 16777216 + pos) AS first_seen FROM train{s} GROUP BY ctx, nxt),
+  counts{s} AS (SELECT ctx, nxt, count(*) AS c, min(row_ord * 2147483648 + pos) AS first_seen FROM train{s} GROUP BY ctx, nxt),
   totals{s} AS (SELECT ctx, sum(c)::BIGINT AS ct FROM counts{s} GROUP BY ctx),
   top{s} AS (SELECT ctx, nxt, c, row_number() OVER (PARTITION BY ctx ORDER BY c DESC, first_seen) AS rank
     FROM counts{s} QUALIFY rank <= 5)"""
@@ -154,11 +157,15 @@ def looked_up(n: int, source: str, name: str, suffix: str = "") -> str:
     LEFT JOIN totals{s} t ON a.ctx = t.ctx LEFT JOIN top{s} k ON a.ctx = k.ctx AND a.nxt = k.nxt)"""
 
 
-def accuracy(n: int, names: str, percent: bool = False) -> str:
+def within(n: int, positions: int | None) -> str:
+    return "true" if positions is None else f"pos <= {positions + 1 - n}"
+
+
+def accuracy(n: int, names: str, percent: bool = False, positions: int | None = None) -> str:
     """Accuracy columns over looked-up positions of rows with a seen context."""
     return ", ".join(
-        f"coalesce(round(count(*) FILTER (ct > 0 AND pos <= {51 - n} AND rank <= {k}) / "
-        f"nullif(count(*) FILTER (ct > 0 AND pos <= {51 - n}), 0){' * 100' if percent else ''}, 6), 0) AS {names.format(k)}"
+        f"coalesce(round(count(*) FILTER (ct > 0 AND {within(n, positions)} AND rank <= {k}) / "
+        f"nullif(count(*) FILTER (ct > 0 AND {within(n, positions)}), 0){' * 100' if percent else ''}, 6), 0) AS {names.format(k)}"
         for k in ((1, 5) if percent else (1, 3, 5))
     )
 
@@ -294,13 +301,13 @@ add("x1_x4_text_metrics", "", f"""SELECT doc_id, {spaces('text')}::BIGINT AS n_w
 add("d1_extract_declarations", f"""{LEAVES}, commas AS (SELECT doc_id, row, max(pos) AS last FROM leaves WHERE token = ',' GROUP BY doc_id, row),
   named AS (SELECT doc_id, row, max_by(token, pos) AS name, max_by(token, pos) FILTER (pos < last) AS earlier FROM leaves
     LEFT JOIN commas USING (doc_id, row) WHERE regexp_matches(token, '{P.WORD}') GROUP BY doc_id, row)""",
-    """SELECT CAST(doc_id AS VARCHAR) AS record_id, (row + 1) * 1048576 AS node_id, coalesce(name, 'unknown') AS name,
+    """SELECT CAST(doc_id AS VARCHAR) AS record_id, (row + 1) * 4294967296 AS node_id, coalesce(name, 'unknown') AS name,
   CASE WHEN last IS NULL THEN 'unknown' ELSE coalesce(earlier, 'unknown') || ',' END AS signature, line AS source_code,
   row + 1 AS start_line, row + 1 AS end_line
   FROM lines LEFT JOIN named USING (doc_id, row) LEFT JOIN commas USING (doc_id, row) WHERE kind = 'method_declaration'""")
 add("d2_leading_comment", f"""{LEAVES}, before AS (SELECT *, lag(kind) OVER w AS prev_kind, lag(line) OVER w AS prev FROM lines
   WINDOW w AS (PARTITION BY doc_id ORDER BY row))""",
-    f"""SELECT CAST(doc_id AS VARCHAR) AS record_id, (row + 1) * 1048576 AS node_id,
+    f"""SELECT CAST(doc_id AS VARCHAR) AS record_id, (row + 1) * 4294967296 AS node_id,
   CASE WHEN prev_kind = 'comment' THEN regexp_replace(prev, '{P.EDGE_WS}', '', 'g') ELSE '' END AS doc_comment
   FROM before WHERE kind = 'method_declaration'""")
 
@@ -383,46 +390,60 @@ for _name, _n, _smoothing in (("a12_perplexity_n3", 3, "laplace"), ("a12_perplex
         f"SELECT {perplexity(_smoothing, None)} AS perplexity, count(*) AS positions FROM found, vocab")
 
 
-def accuracy_query(name: str, n: int, rows: int | None) -> None:
+def accuracy_query(name: str, n: int, rows: int | None, positions: int | None = None) -> None:
     source = "test" if rows is None else "first_rows"
     heads = "" if rows is None else f"{head('first_rows', 'test', rows)}, "
-    hits = ", ".join(f"count(*) FILTER (ct > 0 AND pos <= {51 - n} AND rank <= {k}) AS top{k}_hits" for k in (1, 3, 5))
+    hits = ", ".join(f"count(*) FILTER (ct > 0 AND {within(n, positions)} AND rank <= {k}) AS top{k}_hits" for k in (1, 3, 5))
     add(name, f"{TOKENS}, {TEST}, {heads}{counts(n)}, {looked_up(n, source, 'found')}",
-        f"SELECT {accuracy(n, 'top{}_accuracy')}, {hits}, count(*) FILTER (ct > 0 AND pos <= {51 - n}) AS total_predictions FROM found")
+        f"SELECT {accuracy(n, 'top{}_accuracy', positions=positions)}, {hits}, count(*) FILTER (ct > 0 AND {within(n, positions)}) AS total_predictions FROM found")
 
 
 accuracy_query("a13_topk_accuracy_n3", 3, None)
 accuracy_query("a13_topk_accuracy_n5", 5, None)
-accuracy_query("a17_large_scale_eval", 11, E.LARGE_SCALE_ROWS)
-BANDED = f"""banded AS (SELECT *, {BAND.format('complexity')} AS band FROM test WHERE complexity > 0
-  QUALIFY row_number() OVER (PARTITION BY band ORDER BY row_ord) <= {E.BAND_ROWS})"""
-add("a14_accuracy_by_complexity", f"{TOKENS}, {TEST}, {BANDED}, {counts(5)}, {grams(5, 'asked', 'true', 'banded', 'row_ord, band')}",
-    f"""SELECT band AS complexity, count(DISTINCT row_ord) AS samples, {accuracy(5, 'top{}_acc', percent=True)}
+accuracy_query("a13_topk_accuracy_first", 5, FIRST_ROWS, FIRST_POSITIONS)
+accuracy_query("a17_large_scale_eval", 11, None)
+accuracy_query("a17_large_scale_first", 11, FIRST_ROWS, FIRST_POSITIONS)
+for _name, _first, _positions in (("a14_accuracy_by_complexity", None, None), ("a14_accuracy_first", FIRST_PER_BAND, FIRST_POSITIONS)):
+    _banded = f"""banded AS (SELECT *, {BAND.format('complexity')} AS band FROM test WHERE complexity > 0
+  {f'QUALIFY row_number() OVER (PARTITION BY band ORDER BY row_ord) <= {_first}' if _first else ''})"""
+    add(_name, f"{TOKENS}, {TEST}, {_banded}, {counts(5)}, {grams(5, 'asked', 'true', 'banded', 'row_ord, band')}",
+        f"""SELECT band AS complexity, count(DISTINCT row_ord) AS samples, {accuracy(5, 'top{}_acc', percent=True, positions=_positions)}
   FROM (SELECT a.*, coalesce(t.ct, 0) AS ct, coalesce(k.rank, 99) AS rank FROM asked a LEFT JOIN totals t USING (ctx)
     LEFT JOIN top k ON a.ctx = k.ctx AND a.nxt = k.nxt) GROUP BY band""")
 
-_SIZES = sorted({c.n for c in E.CONFIGURATIONS})
-GRID = f"""{TOKENS}, {TEST}, {VOCABULARY}, {head('first_p', 'test', E.PERPLEXITY_ROWS)}, {head('first_a', 'test', E.ACCURACY_ROWS)}, """ + ", ".join(
-    f"{counts(n, f'_{n}')}, {looked_up(n, 'first_p', f'found_p{n}', f'_{n}')}, {looked_up(n, 'first_a', f'found_a{n}', f'_{n}')}"
-    for n in _SIZES
-) + ", grid AS (" + " UNION ALL ".join(
-    f"""SELECT {i}::BIGINT AS config_ord, {c.n}::BIGINT AS n, '{c.smoothing}' AS smoothing, {c.k if c.k else 'NULL'}::DOUBLE AS k,
-    (SELECT {perplexity(c.smoothing, c.k)} FROM found_p{c.n}, vocab) AS perplexity, a.* FROM
-    (SELECT {accuracy(c.n, 'top{}_acc')}, count(*) FILTER (ct > 0 AND pos <= {51 - c.n}) AS total_predictions FROM found_a{c.n}) a"""
-    for i, c in enumerate(E.CONFIGURATIONS)) + ")"
+
+
+def grid_sql(rows: int | None, positions: int | None) -> str:
+    source = "test" if rows is None else "first_rows"
+    heads = "" if rows is None else f"{head('first_rows', 'test', rows)}, "
+    sizes = sorted({c.n for c in GRID_CONFIGURATIONS})
+    tables = ", ".join(f"{counts(n, f'_{n}')}, {looked_up(n, source, f'found{n}', f'_{n}')}" for n in sizes)
+    # Without a context there is no start sentinel in the vocabulary.
+    known = {n: "(SELECT v - 1 AS v FROM vocab)" if n == 1 else "vocab" for n in sizes}
+    cells = " UNION ALL ".join(
+        f"""SELECT {i}::BIGINT AS config_ord, {c.n}::BIGINT AS n, '{c.smoothing}' AS smoothing, {c.k if c.k else 'NULL'}::DOUBLE AS k,
+    (SELECT {perplexity(c.smoothing, c.k)} FROM found{c.n}, {known[c.n]} known) AS perplexity, a.* FROM
+    (SELECT {accuracy(c.n, 'top{}_acc', positions=positions)}, count(*) FILTER (ct > 0 AND {within(c.n, positions)}) AS total_predictions FROM found{c.n}) a"""
+        for i, c in enumerate(GRID_CONFIGURATIONS)
+    )
+    return f"{TOKENS}, {TEST}, {VOCABULARY}, {heads}{tables}, grid AS ({cells})"
+
+
+GRID = grid_sql(None, None)
 add("a15_score_grid", GRID, "SELECT * FROM grid")
+add("a15_score_grid_first", grid_sql(FIRST_ROWS, FIRST_POSITIONS), "SELECT * FROM grid")
 _BEST = "SELECT '{0}' AS criterion, config_ord, n, smoothing, k, perplexity, top1_acc, top3_acc, top5_acc, CASE WHEN smoothing = 'add-k' THEN 0.1 ELSE 1.0 END::DOUBLE AS model_k FROM (SELECT * FROM grid ORDER BY {1}, config_ord LIMIT 1)"
 add("a16_best_configs", GRID, _BEST.format("lowest_perplexity", "perplexity") + " UNION ALL " + _BEST.format("highest_accuracy", "top1_acc DESC"))
 add("k3_write_results", GRID, """SELECT n, smoothing, coalesce(CAST(k AS VARCHAR), '-') AS k, perplexity, top1_acc, top3_acc, top5_acc FROM grid""")
-add("t2_head_n", f"{TOKENS}, {TEST}", f"SELECT row_ord FROM test ORDER BY row_ord LIMIT {E.ACCURACY_ROWS}")
+add("t2_head_n", f"{TOKENS}, {TEST}", f"SELECT row_ord FROM test ORDER BY row_ord LIMIT {FIRST_ROWS}")
 add("w6_head_per_group", f"{TOKENS}, {TEST}", f"""SELECT row_ord, {BAND.format('complexity')} AS complexity FROM test
-  QUALIFY row_number() OVER (PARTITION BY {BAND.format('complexity')} ORDER BY row_ord) <= {E.BAND_ROWS}""")
+  QUALIFY row_number() OVER (PARTITION BY {BAND.format('complexity')} ORDER BY row_ord) <= {FIRST_PER_BAND}""")
 
 # --- generation ---------------------------------------------------------------------------
 
-PROMPTS = f"""{TOKENS}, {TEST}, {head('first_rows', 'test', E.LARGE_SCALE_ROWS)}, prompts AS (
+PROMPTS = f"""{TOKENS}, {TEST}, prompts AS (
   SELECT row_ord, code_tokens[1:3 + floor({fraction("'42:prompt:' || row_ord")} * (least(10, len(code_tokens) - 1) - 2))::BIGINT] AS context
-  FROM first_rows WHERE len(code_tokens) > 3)"""
+  FROM test WHERE len(code_tokens) > 3)"""
 # The five best continuations of every context as lists, under laplace smoothing.
 OFFERED = f"""{counts(5)}, {VOCABULARY}, offered AS (
   SELECT ctx, list(nxt ORDER BY rank) AS tokens, list({probability('laplace', None)} ORDER BY rank) AS probs

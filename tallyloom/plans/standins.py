@@ -13,16 +13,15 @@ from pyspark.sql import Window as W
 from ..functions import patterns as P
 from ..functions import text as X
 from ..functions.randomness import seeded_hash
-from ..sources.records import spread
 
-_KEYS = {"documents": "doc_id", "events": "event_id", "customer": "c_custkey", "pages": "page_id"}
+# Node ids of a line: more than a string can hold tokens.
+LINE_IDS = 1 << 32
 # Whether a document is a test row: the first hex digit of its seeded hash.
 TEST_DIGITS = ("0", "1", "2")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df, _KEYS[name]) if name in _KEYS else df
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,7 +146,7 @@ def document_nodes(spark: SparkSession, sf_dir: str, branching: bool = False) ->
     lines = (
         docs.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("row", "line"))
         .where(F.col("line").rlike(P.NOT_WS))
-        .withColumn("line_id", (F.col("row").cast("bigint") + 1) * (1 << 20))
+        .withColumn("line_id", (F.col("row").cast("bigint") + 1) * LINE_IDS)
     )
     kind = F.when(X.n_words(F.col("line")) < 5, "comment").otherwise("method_declaration")
     operator = F.lit(None).cast("string")

@@ -1,6 +1,8 @@
 """Models against hand-computed values and a plain-Python count of everything."""
 
+import bisect
 import hashlib
+import itertools
 import math
 import random
 from collections import Counter, defaultdict
@@ -66,42 +68,27 @@ class Plain:
                 logs.append(math.log(p if p > 0 else 1e-10))
         return math.exp(-sum(logs) / len(logs)), len(logs)
 
-    def accuracy(self, rows):
-        hits, total = Counter(), 0
-        for tokens in rows:
-            padded = self.padded(tokens)
-            for i in range(self.n - 1, min(len(padded), 50)):
-                best = [t for t, _ in self.top(padded[i - self.n + 1 : i])]
-                if best:
-                    total += 1
-                    for k in (1, 3, 5):
-                        hits[k] += padded[i] in best[:k]
-        return tuple(hits[k] for k in (1, 3, 5)) + (total,)
-
-    def complete(self, context, draw, max_length):
-        current, made = list(context), []
-        for step in range(max_length):
-            rest = list(current)
-            offered = []
-            while rest and not offered:
-                offered = self.top(rest)
-                rest = rest[1:]
-            total = sum(p for _, p in offered)
-            if not offered or total == 0:
-                break
-            u, running, token = draw(step), 0.0, offered[-1][0]
-            for candidate, p in offered:
-                running += p
-                if running > u * total:
-                    token = candidate
-                    break
-            if token == N.END:
-                break
-            made.append(token)
-            if token in ("}", ";"):
-                break
-            current = (current + [token])[-(self.n - 1) :]
-        return made
+    def accuracy(self, rows, positions=None):
+        """Hits among the first 1, 3 and 5, and positions with a known context, by listing every place."""
+        places = []
+        for padded in map(self.padded, rows):
+            asked = padded[self.n - 1 : positions]
+            lists = [[t for t, _ in self.top(padded[i : i + self.n - 1])] for i in range(len(asked))]
+            places += [known.index(t) if t in known else 9 for t, known in zip(asked, lists) if known]
+        return (*[sum(p < k for p in places) for k in (1, 3, 5)], len(places))
+
+    def offered(self, context):
+        return next((found for i in range(len(context)) if (found := self.top(context[i:]))), [])
+
+    def complete(self, context, draw, max_length, made=()):
+        choices = self.offered((list(context) + list(made))[-max(self.n - 1, 1) :] if made else list(context))
+        sums = list(itertools.accumulate((p for _, p in choices), initial=0.0))[1:]
+        if len(made) == max_length or not choices or not sums[-1]:
+            return list(made)
+        token = choices[min(bisect.bisect_right(sums, draw(len(made)) * sums[-1]), len(choices) - 1)][0]
+        if token in (N.END, "}", ";"):
+            return [*made, token] if token != N.END else list(made)
+        return self.complete(context, draw, max_length, (*made, token))
 
 
 def uniform(*parts):
@@ -143,10 +130,11 @@ def test_ties_keep_first_seen_order(spark):
     assert [r.nxt for r in ranked.orderBy("rank").collect()] == ["y", "x", "z"]
 
 
-def test_first_seen_refuses_to_overflow(spark):
-    df = spark.createDataFrame([(1 << 50, ["a"])], SCHEMA)
-    with pytest.raises(Exception, match="too large to pack"):
-        N.ngram_counts(df, 2).collect()
+def test_first_seen_holds_any_order(spark):
+    orders = [(1 << 62, ["q", "x"]), (1 << 50, ["q", "y"]), (-(1 << 61), ["q", "z"]), (None, ["q", "n"])]
+    ranked = N.next_token_topk(N.ngram_counts(spark.createDataFrame(orders, SCHEMA), 2))
+    got = ranked.where(F.col("ctx") == F.array(F.lit("q"))).orderBy("rank").collect()
+    assert [r.nxt for r in got] == ["z", "y", "x", "n"]
 
 
 def test_perplexity_by_hand(spark):
@@ -159,7 +147,8 @@ def test_perplexity_by_hand(spark):
 
 def test_accuracy_limits(spark):
     df = table(spark, [[f"t{i}" for i in range(100)]])
-    assert E.topk_accuracy(N.NGramModel(3).fit(df), df).first().total_predictions == 48
+    assert E.topk_accuracy(N.NGramModel(3).fit(df), df).first().total_predictions == 101
+    assert E.topk_accuracy(N.NGramModel(3).fit(df), df, max_positions=50).first().total_predictions == 48
     unseen = E.topk_accuracy(N.NGramModel(2).fit(df), table(spark, [[]])).first()
     assert unseen.total_predictions == 1
     nothing = E.topk_accuracy(N.NGramModel(3).fit(df.limit(0)), df).first()
@@ -179,23 +168,13 @@ def test_model_equals_plain_python(spark, n, smoothing, k):
     assert (hits.top1_hits, hits.top3_hits, hits.top5_hits, hits.total_predictions) == plain.accuracy(test)
 
 
-def test_restriction_by_size_changes_nothing(spark, monkeypatch):
+def test_restriction_changes_nothing(spark, tmp_path):
     train, test = table(spark, corpus(4, 30)), table(spark, corpus(5, 10))
-    small = E.perplexity(E.fit_for(N.NGramModel(3), train, test), test).first()
-    monkeypatch.setattr(N, "BROADCAST_CONTEXTS", 0)
-    large = E.perplexity(E.fit_for(N.NGramModel(3), train, test), test).first()
-    assert small == large
-
-
-def test_grid_without_restriction_is_the_same(spark, monkeypatch):
-    train, test = table(spark, corpus(16, 25)), table(spark, corpus(17, 8))
-    settings = [E.Configuration(2, "none"), E.Configuration(4, "add-k", 0.5)]
-    small = E.score_grid(train, test, settings).collect()
-    monkeypatch.setattr(N, "BROADCAST_CONTEXTS", 0)
-    large = E.score_grid(train, test, settings).collect()
-    assert [r.total_predictions for r in small] == [r.total_predictions for r in large]
-    for a, b in zip(small, large):
-        assert (a.perplexity, a.top5_acc) == pytest.approx((b.perplexity, b.top5_acc))
+    restricted = E.fit_for(N.NGramModel(3), train, test)
+    small, large = E.perplexity(restricted, test).first(), E.perplexity(N.NGramModel(3).fit(train), test).first()
+    assert small.perplexity == pytest.approx(large.perplexity) and small.positions == large.positions
+    with pytest.raises(ValueError, match="only some contexts"):
+        restricted.save(str(tmp_path))
 
 
 def test_probabilities_sum_to_one(spark):
@@ -212,15 +191,20 @@ def test_totals_match_counts(spark):
     assert counts.agg(F.sum("c")).first() == N.context_totals(counts).agg(F.sum("ct")).first()
 
 
-@pytest.mark.parametrize("perplexity_rows,accuracy_rows", [(12, 6), (6, 12), (None, 5), (None, None)])
-def test_grid_equals_single_models(spark, perplexity_rows, accuracy_rows):
+GRID = (*E.CONFIGURATIONS, E.Configuration(1, "laplace"), E.Configuration(1, "none"), E.Configuration(2, "add-k", 0.2))
+
+
+@pytest.mark.parametrize("perplexity_rows,accuracy_rows,positions", [(12, 6, None), (6, 12, 50), (None, 5, 12), (None, None, None)])
+def test_grid_equals_single_models(spark, perplexity_rows, accuracy_rows, positions):
     train, test = corpus(8, 40), corpus(9, 16)
-    grid = E.score_grid(table(spark, train), table(spark, test), E.CONFIGURATIONS, perplexity_rows, accuracy_rows).collect()
-    assert len(grid) == len(E.CONFIGURATIONS)
-    for row, config in zip(grid, E.CONFIGURATIONS):
+    grid = E.score_grid(
+        table(spark, train), table(spark, test), GRID, perplexity_rows, accuracy_rows, max_positions=positions
+    ).collect()
+    assert len(grid) == len(GRID)
+    for row, config in zip(grid, GRID):
         plain = Plain(train, config.n, config.smoothing, config.k or 1.0)
         assert row.perplexity == pytest.approx(plain.perplexity(test[:perplexity_rows])[0])
-        *hits, total = plain.accuracy(test[:accuracy_rows])
+        *hits, total = plain.accuracy(test[:accuracy_rows], positions)
         assert row.total_predictions == total
         assert (row.top1_acc, row.top3_acc, row.top5_acc) == pytest.approx([h / total for h in hits])
         assert row.top1_acc <= row.top3_acc <= row.top5_acc
@@ -250,13 +234,13 @@ def test_accuracy_by_complexity(spark):
         assert (row.samples, row.top1_acc, row.top5_acc) == pytest.approx((len(chosen), 100 * top1 / total, 100 * top5 / total))
 
 
-def test_head_n_and_head_per_group(spark, monkeypatch):
+def test_head_n_and_head_per_group(spark):
     df = spark.range(100).select(F.col("id").alias("row_ord"), (F.col("id") % 2).alias("g")).repartition(5)
     assert sorted(r.row_ord for r in E.head_n(df, 7).collect()) == list(range(7))
-    monkeypatch.setattr(E, "TOP_N_LIMIT", 0)
-    assert sorted(r.row_ord for r in E.head_n(df, 7).collect()) == list(range(7))
-    assert E.head_n(df, None).count() == 100
+    assert E.head_n(df, 0).count() == 0 and E.head_n(df, 500).count() == 100
+    assert E.head_n(df, None).count() == E.head_per_group(df, "g").count() == 100
     assert sorted(r.row_ord for r in E.head_per_group(df, "g", 2).collect()) == [0, 1, 2, 3]
+    assert E.head_per_group(df, "g", 70).count() == 100
 
 
 def test_prompt_lengths(spark):
@@ -287,7 +271,7 @@ def test_predict(spark):
         assert [p for _, p in got[i]] == pytest.approx([p for _, p in want])
 
 
-@pytest.mark.parametrize("n,smoothing", [(2, "laplace"), (4, "none")])
+@pytest.mark.parametrize("n,smoothing", [(1, "laplace"), (2, "laplace"), (4, "none")])
 def test_completions_equal_plain_python(spark, n, smoothing):
     train = corpus(13, 60)
     plain = Plain(train, n, smoothing)
@@ -299,7 +283,7 @@ def test_completions_equal_plain_python(spark, n, smoothing):
     for i, context in prompts:
         want = plain.complete(context, lambda step: uniform(7, "step", step, i), 12)
         assert got[i].completion == want, (i, context)
-    assert got[99].steps == []
+    assert n == 1 or got[99].steps == []
 
 
 def test_stop_tokens(spark):

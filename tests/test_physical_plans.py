@@ -22,7 +22,7 @@ def test_no_cross_joins_and_no_python(spark, name):
         assert operator not in text
 
 
-@pytest.mark.parametrize("name", ["t3_next_token_topk", "w2_dedupe_keep_last", "w6_head_per_group", "j3_lookup_topk"])
+@pytest.mark.parametrize("name", ["t3_next_token_topk", "w2_dedupe_keep_last", "j3_lookup_topk"])
 def test_rank_limits_apply_before_the_shuffle(spark, name):
     text = plan(QUERIES[name](spark, SF))
     partial = [m.start() for m in re.finditer("WindowGroupLimit .*Partial", text)]
