@@ -34,7 +34,11 @@ UNKNOWN = "unknown"
 
 
 def with_leaf_flag(nodes: DataFrame) -> DataFrame:
-    """Add ``is_leaf``: no node names this one as its parent."""
+    """Add ``is_leaf``: no node names this one as its parent.
+
+    A table that has the column keeps it.  Elsewhere all nodes meet the ids of parents, which
+    moves their texts too: whoever makes node tables should fill the column.
+    """
     if "is_leaf" in nodes.columns:
         return nodes
     parents = (
@@ -54,7 +58,8 @@ def tree_metrics(nodes: DataFrame) -> DataFrame:
     """A1: size, depth, distinct identifiers, leaves and distinct leaf texts per record.
 
     Two aggregations instead of two ``count(distinct)``: first one row per record and
-    text, where only the texts of leaves and identifiers travel, then one per record.
+    text, where only the texts of leaves and identifiers travel if leaves are flagged, then
+    one per record.
     """
     is_identifier = F.col("node_type") == IDENTIFIER
     per_text = (
@@ -149,48 +154,39 @@ def extract_declarations(nodes: DataFrame) -> DataFrame:
 
     The name is the last identifier among the direct children.  The signature joins the
     last parameter list to the last identifier before it.
+
+    One aggregation: a declaration comes under its own id, an identifier or parameter list
+    under its parent's, and groups without a declaration are dropped.
     """
-    key = ["record_id", "node_id"]
-    declared = nodes.where(F.col("node_type") == DECLARATION).select(
-        *key,
+    kind = F.col("node_type")
+    own = kind == DECLARATION
+    code = F.struct(
         F.col("text").alias("source_code"),
         (F.col("start_row") + 1).cast("bigint").alias("start_line"),
         (F.col("end_row") + 1).cast("bigint").alias("end_line"),
     )
-    parts = (
-        nodes.where(F.col("node_type").isin(IDENTIFIER, PARAMETERS) & F.col("parent_id").isNotNull())
-        .select("record_id", F.col("parent_id").alias("node_id"), "sibling_ord", "node_type", "text")
-        .join(declared.select(*key), key, "left_semi")
-    )
-    parameters = (
-        parts.where(F.col("node_type") == PARAMETERS)
-        .groupBy(*key)
-        .agg(F.max("sibling_ord").alias("__at"), F.max_by("text", "sibling_ord").alias("__parameters"))
-    )
-    before = F.col("sibling_ord") < F.col("__at")
-    names = (
-        parts.where(F.col("node_type") == IDENTIFIER)
-        .join(parameters.select(*key, "__at"), key, "left")
-        .groupBy(*key)
+    child = F.struct("sibling_ord", "text")
+    gathered = (
+        nodes.where(kind.isin(DECLARATION, IDENTIFIER, PARAMETERS))
+        .select(
+            "record_id", F.when(own, F.col("node_id")).otherwise(F.col("parent_id")).alias("node_id"),
+            F.when(own, code).alias("__code"), F.when(kind == PARAMETERS, child).alias("__parameters"),
+            F.when(kind == IDENTIFIER, child).alias("__name"),
+        )
+        .groupBy("record_id", "node_id")
         .agg(
-            F.max_by("text", "sibling_ord").alias("__name"),
-            F.max_by("text", F.when(before, F.col("sibling_ord"))).alias("__name_before"),
+            F.any_value("__code", True).alias("__code"), F.max("__parameters").alias("__parameters"),
+            F.collect_list("__name").alias("__names"),
         )
+        .where(F.col("__code").isNotNull())
     )
+    before = F.array_max(F.filter("__names", lambda x: x["sibling_ord"] < F.col("__parameters.sibling_ord")))
     unknown = F.lit(UNKNOWN)
-    return (
-        declared.join(names, key, "left")
-        .join(parameters, key, "left")
-        .select(
-            *key,
-            F.coalesce("__name", unknown).alias("name"),
-            F.coalesce(
-                F.concat(F.coalesce("__name_before", unknown), "__parameters"), unknown
-            ).alias("signature"),
-            "source_code",
-            "start_line",
-            "end_line",
-        )
+    return gathered.select(
+        "record_id", "node_id",
+        F.coalesce(F.array_max("__names")["text"], unknown).alias("name"),
+        F.coalesce(F.concat(F.coalesce(before["text"], unknown), F.col("__parameters.text")), unknown).alias("signature"),
+        "__code.source_code", "__code.start_line", "__code.end_line",
     )
 
 

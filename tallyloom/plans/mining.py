@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import mining as M
 from ..operators import trees
+from ..operators.cleaning import isolate_bad_rows
 from ..session import stored
 from ..sources.sinks import write_chunked_jsonl
 
@@ -50,16 +51,23 @@ def mine(
     root: str,
     methods_to_mine: int | None = None,
     chunk_size: int = M.CHUNK_SIZE,
+    quarantine: str | None = None,
     **search: object,
 ) -> DataFrame:
     """Search, scan, measure, cap, write chunked records; returns the report per repository.
 
-    Repositories are visited by stars, most first, and methods in commit order.
+    Repositories are visited by stars, most first, and methods in commit order.  A method
+    that was not measured, because its tree is missing, is neither written nor counted
+    toward the cap; it goes to ``quarantine`` as a JSON line with the reason, where a path is
+    given.
     """
     found = M.parse_repo_urls(M.search_repos(repos, since.date(), to.date(), **search))
     ranked = found.select(F.col("clone_url").alias("repo_url"), "stars")
     changes = M.scan_changes(file_changes, since, to).join(ranked, "repo_url")
-    methods = stored(method_rows(changes, file_nodes, method_nodes, licenses))
+    visited = stored(method_rows(changes, file_nodes, method_nodes, licenses))
+    methods, failed = isolate_bad_rows(visited, ["n_ast_nodes"])
+    if quarantine:
+        failed.write.mode("overwrite").json(quarantine)
     capped = stored(
         M.mining_cap(
             methods,

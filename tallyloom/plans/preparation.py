@@ -12,9 +12,12 @@ from ..sources import records as R
 from ..sources import sinks as K
 
 
+REQUIRED = ("id",)
+
+
 def prepare_methods(records: DataFrame) -> DataFrame:
-    """Flatten, standardise, filter and de-duplicate; rows that cannot be used are left out."""
-    good, _ = C.isolate_bad_rows(records, ["id"])
+    """Flatten, standardise, filter and de-duplicate the rows that can be used."""
+    good, _ = C.isolate_bad_rows(records, REQUIRED)
     return dedupe_keep_last(C.clean_methods(C.flatten_one_level(good)))
 
 
@@ -28,13 +31,20 @@ def prepare_dataset(
     layout: str = "folders",
     on_shortfall: str = "skip",
     fmt: str = "parquet",
+    quarantine: str | None = None,
 ) -> DataFrame:
     """Read, prepare, sample, split and write; returns the split report.
 
+    Records that cannot be used go to ``quarantine`` as JSON lines with the reason, where a
+    path is given.
+
     The prepared methods are stored once as Parquet: sampling reads two columns of them to
     count and the rest only for the rows it draws.
     """
-    methods = stored(prepare_methods(R.read_records_jsonl(spark, records_root, layout)))
+    records = R.read_records_jsonl(spark, records_root, layout)
+    if quarantine:
+        C.isolate_bad_rows(records, REQUIRED)[1].write.mode("overwrite").json(quarantine)
+    methods = stored(prepare_methods(records))
     dataset = stored(S.sample_from_large_repos(methods, n_train, n_test, seed, on_shortfall))
     K.write_dataset(dataset, dataset_path, fmt)
     return S.split_report(dataset)

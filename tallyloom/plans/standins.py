@@ -142,6 +142,7 @@ def document_nodes(spark: SparkSession, sf_dir: str, branching: bool = False) ->
         "text",
         F.lit(0).alias("start_row"),
         F.regexp_count("text", F.lit("\n")).alias("end_row"),
+        (~F.col("text").rlike(P.NOT_WS)).alias("is_leaf"),
     )
     lines = (
         docs.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("row", "line"))
@@ -169,6 +170,7 @@ def document_nodes(spark: SparkSession, sf_dir: str, branching: bool = False) ->
         F.col("line").alias("text"),
         F.col("row").alias("start_row"),
         F.col("row").alias("end_row"),
+        F.lit(False).alias("is_leaf"),
     )
     is_word = F.col("token").rlike(P.WORD)
     token_nodes = lines.select(
@@ -185,6 +187,7 @@ def document_nodes(spark: SparkSession, sf_dir: str, branching: bool = False) ->
         F.coalesce(operator, "token").alias("text"),
         F.col("row").alias("start_row"),
         F.col("row").alias("end_row"),
+        F.lit(True).alias("is_leaf"),
     )
     return root.unionByName(line_nodes).unionByName(token_nodes)
 

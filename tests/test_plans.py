@@ -49,10 +49,15 @@ def test_mine_prepare_experiment(spark, tmp_path):
         "clone_url string, language string, stars bigint, fork boolean, pushed_at date")
     licenses = spark.createDataFrame([("o/r0", "mit")], "owner_repo string, license_key string")
     records, dataset = str(tmp_path / "records"), str(tmp_path / "dataset")
-    report = mine(repos, *files(spark), licenses, datetime(2024, 2, 1), datetime(2024, 4, 1), records,
-                  methods_to_mine=40, chunk_size=10)
+    changes, file_nodes, method_nodes = files(spark)
+    # One method of the repository with more stars was never parsed: it does not count.
+    parsed = method_nodes.where("record_id <> 'f1/10'")
+    report = mine(repos, changes, file_nodes, parsed, licenses, datetime(2024, 2, 1), datetime(2024, 4, 1), records,
+                  methods_to_mine=40, chunk_size=10, quarantine=str(tmp_path / "failed"))
+    failed = spark.read.json(str(tmp_path / "failed")).collect()
+    assert [(r.record_id, r.node_id, r.bad_reason) for r in failed] == [("f1", 10, "missing n_ast_nodes")]
     got = {r.repo_url and r.repo_url[-6:-4]: (r.methods, r.chunks) for r in report.collect()}
-    assert got == {"r1": (24, 3), "r0": (16, 2), None: (40, None)}
+    assert got == {"r1": (23, 3), "r0": (17, 2), None: (40, None)}
 
     read = read_records_jsonl(spark, records, "partitions").cache()
     assert read.count() == 40
@@ -64,7 +69,8 @@ def test_mine_prepare_experiment(spark, tmp_path):
     assert methods.where("method_signature = 'm3(int a)'").count() == methods.where("method_name = 'm3'").count() > 0
     split = prepare_dataset(spark, records, dataset, 24, 6, layout="partitions")
     totals = split.agg(F.sum("train_rows"), F.sum("test_rows")).first()
-    assert tuple(totals) == (24, 6)
+    # Shares of 30 rows are rounded down: 17 of 23 and 12 of 17.
+    assert tuple(totals) == (23, 6)
     table = read_dataset(spark, dataset)
     assert set(DATASET.fieldNames()) <= set(table.columns)
 
