@@ -77,7 +77,8 @@ def first_in_order(
     """The first ``n`` rows by (``lead_order``, ``order``), for an ``n`` too large for a top-N.
 
     Counts per ``lead`` value decide which blocks are wholly in and which single block
-    holds the cut; only that block is sorted.  Rows past the cut are never shuffled.
+    holds the cut; only that block is sorted.  Where there are too many blocks to broadcast,
+    all rows are shuffled once to meet them.
     """
     if n <= 0:
         return df.limit(0)

@@ -10,6 +10,7 @@ from ..session import materialize
 from .cleaning import quality_filter
 from .ordinals import with_ordinal, with_seeded_rank
 
+# The sizes and the seed of the data set.
 N_TRAIN = 20_000
 N_TEST = 5_000
 SEED = 42

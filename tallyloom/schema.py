@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# The nine metrics of a record, in order.
 METRIC_NAMES = (
     "cyclomatic_complexity", "n_ast_nodes", "ast_depth", "n_identifiers", "vocab_size",
     "n_whitespaces", "n_words", "nloc", "token_counts",
