@@ -24,15 +24,17 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .pretokens import UnitEncoder, id_lists, slices
 
 # Words up to so many bytes keep their tokens in one list; longer ones in one row per token.
 SHORT = 48
+# Workers keep what they hold for the next task, beside whatever that needs: all of it stays small.
+CACHE_UNITS = 300_000
+SLICE_CHARS = 1_000_000
 # Rows a recursive query may produce, and rows one decoding query reads.
-QUERY_ROWS = 2_000_000
-DECODE_ROWS = 1_000_000
+QUERY_ROWS = 200_000
+DECODE_ROWS = 100_000
 # Fixed value: what the rank files' pattern calls white space.
 _SPACE = r"\t-\r\x20\x85\xa0  -     　"
 
@@ -124,7 +126,7 @@ class BytePairs:
         self._ranks, self._rows = read_ranks(path), query_rows
         self._pattern = regex.compile(pattern.replace(r"[^\s", f"[^{_SPACE}").replace(r"\s", f"[{_SPACE}]").replace(r"\S", f"[^{_SPACE}]"))
         self._byte = np.array([self._ranks[bytes([b])] for b in range(256)], np.int32)
-        self._db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "700MB", "temp_directory": ""})
+        self._db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "200MB", "temp_directory": ""})
         merges = merge_table(self._ranks)  # noqa: F841  DuckDB reads it by name
         self._db.execute("CREATE TABLE merges AS SELECT * FROM merges")
         vocabulary = pa.table(  # noqa: F841
@@ -220,7 +222,7 @@ def _pairs(path: str, pattern: str) -> BytePairs:
 @lru_cache(maxsize=2)
 def _encoder(path: str, pattern: str) -> UnitEncoder:
     pairs = _pairs(path, pattern)
-    return UnitEncoder(pairs.encode, pairs.cut)
+    return UnitEncoder(pairs.encode, pairs.cut, CACHE_UNITS)
 
 
 def encode(docs: DataFrame, ranks: str, pattern: str, id_column: str = "doc_id") -> DataFrame:
@@ -229,7 +231,7 @@ def encode(docs: DataFrame, ranks: str, pattern: str, id_column: str = "doc_id")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(ranks, pattern)
         for batch in batches:
-            for first, texts in slices(batch.column(1)):
+            for first, texts in slices(batch.column(1), SLICE_CHARS):
                 ids, ends = encoder(texts)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, len(texts)), id_lists(ids, ends)], [id_column, "ids"]
@@ -240,35 +242,44 @@ def encode(docs: DataFrame, ranks: str, pattern: str, id_column: str = "doc_id")
 
 
 def decode(tokens: DataFrame, ranks: str, pattern: str, id_column: str = "doc_id") -> DataFrame:
-    """(id, n_tokens, ids_sha256, decoded) for every row's ``ids``; the digest is of little-endian 32-bit ids."""
+    """(id, decoded) for every row's ``ids``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = _pairs(ranks, pattern)
         for batch in batches:
             lists = batch.column(1)
-            offsets = lists.offsets.to_numpy().astype(np.int64)
-            ids = lists.values.to_numpy(zero_copy_only=False)
-            data = memoryview(ids.astype("<u4", copy=False)).cast("B")
+            offsets, ids = lists.offsets.to_numpy().astype(np.int64), lists.values.to_numpy(zero_copy_only=False)
             for a in range(0, len(lists), 256):
                 cuts = offsets[a : a + 257]
                 texts = pairs.decode(ids[cuts[0] : cuts[-1]], cuts[1:] - cuts[0])
-                sums = [hashlib.sha256(data[4 * x : 4 * y]).hexdigest() for x, y in zip(cuts[:-1], cuts[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(a, len(texts)), pa.array(np.diff(cuts)), pa.array(sums),
-                        pa.array(texts, pa.binary()),
-                    ],
-                    [id_column, "n_tokens", "ids_sha256", "decoded"],
+                    [batch.column(0).slice(a, len(texts)), pa.array(texts, pa.binary())], [id_column, "decoded"]
                 )
 
     kind = tokens.schema[id_column].dataType.simpleString()
-    return tokens.select(id_column, "ids").mapInArrow(
-        run, f"`{id_column}` {kind}, n_tokens long, ids_sha256 string, decoded binary"
-    )
+    return tokens.select(id_column, "ids").mapInArrow(run, f"`{id_column}` {kind}, decoded binary")
 
 
 def digests(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row."""
-    return decode(encode(docs, ranks, pattern), ranks, pattern).select(
-        "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row; ids count as little-endian 32-bit integers.
+
+    Encodes and decodes in one pass, so one worker holds one cache and one connection.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, pairs = _encoder(ranks, pattern), _pairs(ranks, pattern)
+        for batch in batches:
+            for first, texts in slices(batch.column(1), SLICE_CHARS):
+                ids, ends = encoder(texts)
+                starts = np.concatenate([[0], ends[:-1]])
+                data = memoryview(ids.astype("<u4")).cast("B")
+                sums = [hashlib.sha256(data[4 * a : 4 * b]).hexdigest() for a, b in zip(starts, ends)]
+                back = [hashlib.sha256(t).hexdigest() for t in pairs.decode(ids, ends)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(first, len(texts)), pa.array(ends - starts), pa.array(sums), pa.array(back)],
+                    ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                )
+
+    return docs.select("doc_id", "text").mapInArrow(
+        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     )

@@ -102,6 +102,15 @@ def test_bpe_digests(spark, tiktoken_encoding):
     assert bpe.digests(cases.empty(spark), RANKS, public_tokenizers.PATTERN).count() == 0
 
 
+def test_bpe_tables_decode_to_the_texts(spark):
+    docs = cases.table(spark)
+    tokens = bpe.encode(docs, RANKS, public_tokenizers.PATTERN)
+    decoded = bpe.decode(tokens, RANKS, public_tokenizers.PATTERN).collect()
+    assert sorted((repr(r["doc_id"]), bytes(r["decoded"])) for r in decoded) == sorted(
+        (repr(i), (t or "").encode()) for i, t, _ in cases.TEXTS
+    )
+
+
 def test_token_files(spark, huggingface):
     rows = [r for r in cases.TEXTS if r[0] not in (1, 14, None)] + [(None, "first of all", "a")]
     path = scratch_path(spark)
