@@ -3,11 +3,14 @@
 1. Vectors are scaled to length one; equal vectors of a label fall into one class.
 2. Every label's classes are dealt into shards by hash; each shard becomes one navigable
    small-world graph, stored as a row of arrays.
-3. Every vector queries every shard of its label.  Beams are doubled for all queries of a shard
-   until an audit, which compares a hashed sample of them with a full scan, finds at least
-   ``recall`` of the true links; and for single queries whose beam is full of links.  A query
-   whose beam would reach an eighth of the shard scans the shard instead, so nothing is cut off.
-4. Candidates are verified in double precision.  Each task returns link counts and the root
+3. Every vector queries every shard of its label.  An audit scans hashed queries in full until
+   ``evidence`` of them have a link to another vector; beams are doubled for all queries of a
+   shard until at least ``recall`` of those links, and of those queries' whole link sets, are
+   found; and for single queries whose beam is full of links.  Where the queries run out first,
+   all of them have been scanned and the scan is the answer.  A query whose beam would reach an
+   eighth of the shard scans the shard instead, so nothing is cut off.
+4. Candidates are verified in double precision.  Two shards ask each other in one task, and a
+   link found from either end counts once at both.  Each task returns link counts and the root
    of the links it saw per class, never pairs; roots are united to components.
 
 Defined cases: rows with a null label, and vectors that are null, empty, zero or hold null or
@@ -35,7 +38,9 @@ THRESHOLD = 0.98
 # Vectors of a shard; its graph is about 600 bytes a vector at 64 dimensions.
 SHARD = 8192
 BEAM = 16
+# Queries of the audit's first step, and how many queries with links it has to see.
 AUDIT = 64
+EVIDENCE = 1000
 RECALL = 0.999
 # Candidates are taken this much below the threshold: graphs hold single precision.
 _SLACK = 1e-4
@@ -115,14 +120,22 @@ def _load(members: int, dims: int, blob: bytes) -> tuple[SmallWorld, np.ndarray]
 
 
 def find_links(
-    graph: SmallWorld, x: np.ndarray, queries: np.ndarray, threshold: float, beam: int, recall: float, audit: int
+    graph: SmallWorld, x: np.ndarray, queries: np.ndarray, threshold: float, beam: int, recall: float, audit: int,
+    evidence: int = EVIDENCE, own: bool = False,
 ) -> tuple[np.ndarray, np.ndarray]:
-    """(query, member) of all links found; ``audit`` queries are held against a full scan."""
+    """(query, member) of all links found.
+
+    Full scans of ``audit`` queries, then of twice as many, go on until ``evidence`` queries with
+    a link have been seen.  ``own``: queries are the members themselves, and none links with itself.
+    """
 
     def scan(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         found = [np.nonzero(queries[rows[a : a + 512]] @ x.T >= threshold) for a in range(0, len(rows), 512)]
         q = [rows[a * 512 + hit[0]] for a, hit in enumerate(found)]
-        return np.concatenate([np.zeros(0, int), *q]), np.concatenate([np.zeros(0, int), *[hit[1] for hit in found]])
+        return others(np.concatenate([np.zeros(0, int), *q]), np.concatenate([np.zeros(0, int), *[hit[1] for hit in found]]))
+
+    def others(q: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return (q[q != m], m[q != m]) if own else (q, m)
 
     def look(rows: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
         if width * 8 >= len(x):
@@ -134,46 +147,63 @@ def find_links(
         q, m = rows[np.nonzero(near)[0]], ids[near]
         sure = np.einsum("nd,nd->n", queries[q], x[m]) >= threshold
         wider = look(rows[full], width * 8) if full.any() else (np.zeros(0, int), np.zeros(0, int))
-        return np.concatenate([q[sure], wider[0]]), np.concatenate([m[sure], wider[1]])
-
-    # Queries come sorted by digest, so equal steps through them are a random sample.
-    sample = np.unique(np.linspace(0, len(queries) - 1, min(audit, len(queries))).astype(int))
-    truth = set(zip(*(a.tolist() for a in scan(sample))))
-    while True:
+        return others(np.concatenate([q[sure], wider[0]]), np.concatenate([m[sure], wider[1]]))
+
+    # Names are digests, so any order drawn without looking at vectors gives a random sample.
+    order = np.random.default_rng(len(queries)).permutation(len(queries))
+    truth_q, truth_m = np.zeros(0, int), np.zeros(0, int)
+    done, step = 0, max(audit, 1)
+    while done < len(order) and len(np.unique(truth_q)) < evidence:
+        q, m = scan(order[done : done + step])
+        truth_q, truth_m = np.concatenate([truth_q, q]), np.concatenate([truth_m, m])
+        done, step = min(done + step, len(order)), step * 2
+    sample, rest = order[:done], order[done:]
+    truth = truth_q * len(x) + truth_m
+    while len(rest):
         q, m = look(sample, beam)
-        if len(truth & set(zip(q.tolist(), m.tolist()))) >= recall * len(truth):
-            return look(np.arange(len(queries)), beam)
+        hit = np.isin(truth, q * len(x) + m)
+        linked, whole = np.unique(truth_q), np.setdiff1d(truth_q, truth_q[~hit])
+        if hit.sum() >= recall * len(truth) and len(whole) >= recall * len(linked):
+            q, m = look(rest, beam)
+            return np.concatenate([truth_q, q]), np.concatenate([truth_m, m])
         beam *= 2
+    return truth_q, truth_m
 
 
 _LINK_SCHEMA = "node string, links long, root string"
 
 
-def _query(threshold: float, beam: int, recall: float, audit: int):
-    def run(shards: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+def _query(threshold: float, beam: int, recall: float, audit: int, evidence: int):
+    def run(shards: pd.DataFrame) -> pd.DataFrame:
         nothing = pd.DataFrame({"node": pd.Series([], dtype=str), "links": pd.Series([], dtype="int64"), "root": pd.Series([], dtype=str)})
-        if shards.empty or queries.empty:
+        first = shards.iloc[0]
+        if first["low"] != first["high"] and len(shards) < 2:
             return nothing
-        shard = shards.iloc[0]
-        members, copies = np.asarray(shard["members"], object), np.asarray(shard["copies"], np.int64)
-        graph, x = _load(len(members), int(shard["dims"]), shard["graph"])
-        queries = queries.sort_values("node", kind="stable")
-        q, m = find_links(graph, x, _matrix(queries["unit"]), threshold, beam, recall, audit)
-        names = queries["node"].to_numpy()
-        other = names[q] != members[m]
-        q, m = q[other], m[other]
-        if not len(q):
+        # One shard and itself, or two shards that ask each other.
+        shards = shards.sort_values("shard", kind="stable")
+        sides = [_load(len(m), int(d), g) for m, d, g in zip(shards["members"], shards["dims"], shards["graph"])]
+        (graph, x), (other_graph, other_x) = sides[0], sides[-1]
+        own = len(sides) == 1
+        ask = lambda g, v, queries: find_links(g, v, queries, threshold, beam, recall, audit, evidence, own)
+        a, b = ask(other_graph, other_x, x)
+        if not own:
+            back_b, back_a = ask(graph, x, other_x)
+            a, b = np.concatenate([a, back_a]), np.concatenate([b, back_b]) + len(x)
+        if not len(a):
             return nothing
-        if shard["shard"] == queries["shard"].iloc[0]:
-            # Inside a shard a link found from one end counts at both.
-            back = pd.Series(np.arange(len(names)), index=names)
-            pairs = np.unique(np.concatenate([np.stack([q, m], 1), np.stack([back[members[m]].to_numpy(), np.searchsorted(members, names[q])], 1)]), axis=0)
-            q, m = pairs[:, 0], pairs[:, 1]
-        links = np.bincount(q, copies[m], len(names)).astype(np.int64)
+        names = np.concatenate([np.asarray(m, object) for m in shards["members"]])
+        copies = np.concatenate([np.asarray(c, np.int64) for c in shards["copies"]])
+        # A link found from one end, or from both, counts once at each end.
+        pairs = np.unique(np.minimum(a, b) * len(names) + np.maximum(a, b))
+        a, b = pairs // len(names), pairs % len(names)
+        links = np.bincount(a, copies[b], len(names)) + np.bincount(b, copies[a], len(names))
+        used = np.flatnonzero(links)
+        used = used[np.argsort(names[used], kind="stable")]
+        place = np.zeros(len(names), int)
+        place[used] = np.arange(len(used))
+        a, b = place[a], place[b]
         # Smallest name over the links seen here, repeated until it settles.
-        both, place = np.unique(np.concatenate([names[q], members[m]]), return_inverse=True)
-        a, b = place[: len(q)], place[len(q) :]
-        root = np.arange(len(both))
+        root = np.arange(len(used))
         while True:
             new = root.copy()
             np.minimum.at(new, a, root[b])
@@ -182,14 +212,14 @@ def _query(threshold: float, beam: int, recall: float, audit: int):
             if (new == root).all():
                 break
             root = new
-        counted = pd.Series(links, index=names).reindex(both, fill_value=0)
-        return pd.DataFrame({"node": both, "links": counted.to_numpy(), "root": both[root]})
+        return pd.DataFrame({"node": names[used], "links": links[used].astype(np.int64), "root": names[used][root]})
 
     return run
 
 
 def near_vectors(
-    vectors: DataFrame, threshold: float = THRESHOLD, shard: int = SHARD, beam: int = BEAM, recall: float = RECALL, audit: int = AUDIT
+    vectors: DataFrame, threshold: float = THRESHOLD, shard: int = SHARD, beam: int = BEAM, recall: float = RECALL, audit: int = AUDIT,
+    evidence: int = EVIDENCE,
 ) -> DataFrame:
     """One row per vector: ``vec_id``, ``n_links``, ``component_id`` (smallest id reachable), ``kept``."""
     all_units = stored(units(vectors))
@@ -208,15 +238,14 @@ def near_vectors(
     counts = dealt.groupBy("label", "dims", "shard").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("node", "copies"))), lambda x: x["copies"]).alias("copies")
     )
-    per_block = F.explode(F.sequence(F.lit(0), F.col("shards") - 1))
-    indexed = graphs.join(counts, ["label", "dims", "shard"]).join(sizes, ["label", "dims"]).withColumn("block", per_block)
-    asked = dealt.withColumn("target", per_block).select(
-        "label", "dims", "shard", "target", "node", "unit"
+    # Graphs hold their vectors, so a pair of shards needs nothing else.
+    other = F.explode(F.sequence(F.lit(0), F.col("shards") - 1))
+    paired = graphs.join(counts, ["label", "dims", "shard"]).join(sizes, ["label", "dims"]).withColumn("other", other).select(
+        "label", "dims", "shard", "members", "graph", "copies",
+        F.least("shard", "other").alias("low"), F.greatest("shard", "other").alias("high"),
     )
     linked = stored(
-        indexed.groupBy("label", "dims", "shard", "block")
-        .cogroup(asked.groupBy("label", "dims", "target", "shard"))
-        .applyInPandas(_query(threshold, beam, recall, audit), _LINK_SCHEMA)
+        paired.groupBy("label", "dims", "low", "high").applyInPandas(_query(threshold, beam, recall, audit, evidence), _LINK_SCHEMA)
     )
     roots = components(linked, "node", "root").select(F.col("node").alias("__node"), "root")
     sums = linked.groupBy("node").agg(F.sum("links").alias("links")).select(F.col("node").alias("__linked"), "links")

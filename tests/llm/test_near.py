@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from tallyloom.llm import common, ngram_join, vector_dedup
@@ -171,3 +172,65 @@ def test_graph_recall():
     hits = sum(len(set(a.tolist()) & set(b.tolist())) for a, b in zip(exact, ids))
     assert hits / exact.size >= 0.9
     assert Counter(len(level) for level in SmallWorld(x[:1]).levels).keys() == {1}
+
+
+class Blind:
+    """A graph whose walks find nothing but the first member."""
+
+    def search(self, queries, beam):
+        ids = np.full((len(queries), beam), -1)
+        sims = np.full((len(queries), beam), -np.inf)
+        ids[:, 0], sims[:, 0] = 0, 0.0
+        return ids, sims
+
+
+def test_audit_needs_evidence():
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(1500, 32))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    # Three queries of 1,500 have a link: a sample of 64 is likely to see none of them.
+    queries = rng.normal(size=(1500, 32))
+    queries[[101, 702, 1303]] = x[[5, 6, 7]]
+    queries /= np.linalg.norm(queries, axis=1)[:, None]
+    q, m = vector_dedup.find_links(Blind(), x, queries, 0.98, 16, 0.999, 64)
+    assert sorted(zip(q.tolist(), m.tolist())) == [(101, 5), (702, 6), (1303, 7)]
+
+
+def test_links_to_oneself_are_no_evidence():
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(1500, 32))
+    x[1400] = x[3]
+    x /= np.linalg.norm(x, axis=1)[:, None]
+
+    class Own(Blind):
+        def search(self, queries, beam):
+            ids, sims = super().search(queries, beam)
+            ids[:, 0], sims[:, 0] = np.argmax(queries @ x.T, axis=1), 1.0
+            return ids, sims
+
+    q, m = vector_dedup.find_links(Own(), x, x, 0.98, 16, 0.999, 64)
+    assert {(3, 1400), (1400, 3)} <= set(zip(q.tolist(), m.tolist()))
+    q, m = vector_dedup.find_links(Own(), x, x, 0.98, 16, 0.999, 64, own=True)
+    assert sorted(zip(q.tolist(), m.tolist())) == [(3, 1400), (1400, 3)]
+
+
+def test_links_between_shards_count_at_both_ends(monkeypatch):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(2, 300, 16))
+    x[1, 40] = x[0, 7]
+    x /= np.linalg.norm(x, axis=2)[:, :, None]
+    rows = []
+    for s in (0, 1):
+        group = pd.DataFrame({"node": [f"{i:03}-{s}" for i in range(300)], "unit": list(x[s]), "label": 0, "dims": 16, "shard": s})
+        rows.append(vector_dedup._build(group).assign(copies=[[2 + s] * 300], low=0, high=1))
+    find, asked = vector_dedup.find_links, []
+
+    def from_one_end(graph, *rest):
+        q, m = find(graph, *rest)
+        asked.append(len(q))
+        return (q, m) if len(asked) == 1 else (q[:0], m[:0])
+
+    monkeypatch.setattr(vector_dedup, "find_links", from_one_end)
+    found = vector_dedup._query(0.98, 16, 0.999, 64, 1000)(pd.concat(rows))
+    assert asked == [1, 1]
+    assert found.values.tolist() == [["007-0", 3, "007-0"], ["040-1", 2, "007-0"]]
