@@ -18,7 +18,10 @@ its only n-gram.  N-grams are compared by 64-bit hashes.
 Defined cases: null texts and texts without words link with nothing; equal texts link with each
 other; rows that repeat id and text are copies like any others; rows with a null id take no
 part: they have null classes, no links, and are kept; an empty table gives an empty table; only
-``doc_id`` and ``text`` are read, so other columns may have any name.
+``doc_id`` and ``text`` are read, so other columns may have any name.  ``drop_near_duplicates``
+works on rows in place of ids: of a component it keeps one row, that with the smallest id, then
+the smallest digest of its text; null ids take part by their text and come after all others.
+Rows without words all stay.
 """
 
 from __future__ import annotations
@@ -31,10 +34,11 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from ..operators.ordinals import with_ordinal
 from ..session import stored
-from .common import components
+from .common import WORD, columns_of, components
 
 N = 5
 THRESHOLD = 0.8
@@ -43,6 +47,8 @@ MAX_HASHES = 96
 BLOCK = 256
 # Columns of one intersection step: a block pair times so many n-grams is held as a matrix.
 _STEP = 4096
+# Null ids come after all others.
+_LAST_ID = 2**63 - 1
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -190,16 +196,47 @@ def near_duplicates(
 
 
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` whose document is the first of its class, and rows without an id."""
-    kept = classified(docs, **options).where("kept").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & F.md5("text").eqNullSafe(F.col("__key"))
-    return docs.join(stored(kept).hint("merge"), same, "left_semi")
+    """One row of ``docs`` for each component of near duplicates, and the rows without words."""
+    last = F.coalesce(F.col("doc_id"), F.lit(_LAST_ID))
+    _, per_class = _per_class(docs.select(last.alias("doc_id"), "text"), **options)
+    firsts = per_class.groupBy("__root").agg(F.min(F.struct("text_class", "text_key")).alias("f"))
+    mark = lambda doc_id, key: F.md5(F.concat_ws(":", doc_id.cast("string"), key))
+    kept = stored(firsts.select(mark(F.col("f.text_class"), F.col("f.text_key")).alias("__mark")))
+    worded = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    # Copies of a row are cut to one in every task before they are shuffled for window and join.
+    row = W.partitionBy("__mark").orderBy(F.col("doc_id").asc_nulls_last(), "__at")
+    marked = docs.where(worded).withColumns({"__mark": mark(last, F.md5("text")), "__at": F.monotonically_increasing_id()})
+    single = marked.withColumn("__row", F.row_number().over(row)).where("__row = 1")
+    single = single.join(kept.hint("merge"), "__mark", "left_semi")
+    return single.select(*columns_of(docs)).unionByName(docs.where(~worded))
 
 
 def classified(
     docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall: float = TARGET_RECALL, block: int = BLOCK
 ) -> DataFrame:
     """What ``near_duplicates`` returns, with the digest ``text_key`` of each row's text (null for null)."""
+    signed, per_class = _per_class(docs, n, threshold, recall, block)
+    names = stored(per_class.groupBy("__root").agg(F.min("text_class").alias("class_id")))
+    answer = stored(per_class.join(names, "__root").drop("__root"))
+    found = F.col("doc_id").isNotNull() & F.col("bands").isNotNull()
+    result = signed.select("doc_id", "text_key", F.when(found, F.col("text_key")).alias("__key")).join(
+        answer.withColumnRenamed("text_key", "__key"), "__key", "left"
+    )
+    own = lambda c: F.coalesce(c, F.col("doc_id"))
+    found = F.col("doc_id").isNotNull()
+    return result.select(
+        "doc_id", "text_key",
+        F.when(found, own("text_class")).alias("text_class"),
+        F.when(found, F.coalesce("n_links", F.lit(0))).otherwise(F.lit(0)).cast("long").alias("n_links"),
+        F.when(found, own("class_id")).alias("class_id"),
+        (~found | (own("class_id") == F.col("doc_id"))).alias("kept"),
+    )
+
+
+def _per_class(
+    docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall: float = TARGET_RECALL, block: int = BLOCK
+) -> tuple[DataFrame, DataFrame]:
+    """Signatures by row, and (text_key, text_class, n_links, __root) of every class of equal texts."""
     bands, rows = choose_bands(threshold, recall)
     signed = stored(signatures(docs, n, bands, rows))
     named = signed.where(F.col("doc_id").isNotNull() & F.col("bands").isNotNull())
@@ -227,22 +264,7 @@ def classified(
             F.coalesce("__root", "text_key").alias("__root"),
         )
     )
-    per_class = stored(per_class)
-    names = stored(per_class.groupBy("__root").agg(F.min("text_class").alias("class_id")))
-    answer = stored(per_class.join(names, "__root").drop("__root"))
-    found = F.col("doc_id").isNotNull() & F.col("bands").isNotNull()
-    result = signed.select("doc_id", "text_key", F.when(found, F.col("text_key")).alias("__key")).join(
-        answer.withColumnRenamed("text_key", "__key"), "__key", "left"
-    )
-    own = lambda c: F.coalesce(c, F.col("doc_id"))
-    found = F.col("doc_id").isNotNull()
-    return result.select(
-        "doc_id", "text_key",
-        F.when(found, own("text_class")).alias("text_class"),
-        F.when(found, F.coalesce("n_links", F.lit(0))).otherwise(F.lit(0)).cast("long").alias("n_links"),
-        F.when(found, own("class_id")).alias("class_id"),
-        (~found | (own("class_id") == F.col("doc_id"))).alias("kept"),
-    )
+    return signed, stored(per_class)
 
 
 def _links_in_groups(docs: DataFrame, members: DataFrame, n: int, threshold: float, block: int) -> DataFrame:

@@ -234,3 +234,18 @@ def test_links_between_shards_count_at_both_ends(monkeypatch):
     found = vector_dedup._query(0.98, 16, 0.999, 64, 1000)(pd.concat(rows))
     assert asked == [1, 1]
     assert found.values.tolist() == [["007-0", 3, "007-0"], ["040-1", 2, "007-0"]]
+
+
+def test_one_row_of_each_group_stays(spark):
+    a, b = cases.SENTENCE + " One two three four five six seven eight nine ten.", "Quite another sentence, which has nothing to do with the first."
+    near = cases.SENTENCE + " One two three four five six seven eight nine ten. Eleven"
+    rows = [
+        (1, a, "a"), (1, a, "a"), (1, near, "a"), (2, a, "b"), (None, a, "c"), (None, near, "c"),
+        (None, b, "d"), (None, b, "d"), (5, None, "e"), (5, None, "e"), (None, " ", "e"), (7, "alone here", "f"), (7, "alone here", "f"),
+    ]
+    left = ngram_join.drop_near_duplicates(cases.table(spark, rows))
+    found = [(r["doc_id"], r["text"]) for r in left.collect()]
+    group = [r for r in found if r[1] in (a, near)]
+    assert len(group) == 1 and group[0][0] == 1
+    rest = [r for r in found if r not in group]
+    assert sorted(rest, key=repr) == sorted([(None, b), (5, None), (5, None), (None, " "), (7, "alone here")], key=repr)
