@@ -4,7 +4,8 @@ A line with at least one word fails if one of three rules holds:
 
 * punctuation: no word ends a sentence, or more than half of the words end in ``!`` or ``?``;
 * navigation: two or more separators standing as words, and at least one per three words;
-* boilerplate: a phrase of web furniture, or at least 30 % of the words carry ``#*$%&<>{}``.
+* boilerplate: phrases of web furniture, standing as words, hold at least 30 % of the words, or at
+  least 30 % of the words carry ``#*$%&<>{}``.
 
 Removed lines take their words with them.  A document is kept if its base checks pass (ten
 words or more, at most 20 % of them in repeated five-word windows) and it lost at most half of
@@ -36,6 +37,8 @@ FURNITURE = (
     r"(?i)lorem ipsum|enable javascript|cookie policy|privacy policy|terms of (?:use|service)"
     r"|all rights reserved|click here|sign in|log in|skip to (?:main )?content|subscribe to our"
 )
+# The phrases as whole words.
+PHRASE = r"(?i)(?<![\p{L}\p{N}])(?:" + FURNITURE.removeprefix("(?i)") + r")(?![\p{L}\p{N}])"
 
 _SPACES = " \t\n\x0b\f\r"
 ADDED = (
@@ -47,11 +50,12 @@ ADDED = (
 def line_fails(line: Column) -> Column:
     words = F.regexp_count(line, F.lit(WORD))
     separators = F.regexp_count(line, F.lit(SEPARATOR))
+    furniture = F.array_join(F.regexp_extract_all(line, F.lit(PHRASE), F.lit(0)), " ")
     return line.rlike(WORD) & (
         ~line.rlike(SENTENCE_END)
         | (F.regexp_count(line, F.lit(SHOUT)) * 2 > words)
         | ((separators >= 2) & (separators * 3 >= words))
-        | line.rlike(FURNITURE)
+        | (line.rlike(PHRASE) & (F.regexp_count(furniture, F.lit(WORD)) * 10 >= words * 3))
         | (F.regexp_count(line, F.lit(SYMBOL_WORD)) * 10 >= words * 3)
     )
 

@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyloom.llm import line_dedup, mixing, quality
 
@@ -168,3 +169,15 @@ def test_empty_tables(spark):
     assert line_dedup.dedup_lines(docs).count() == 0
     assert mixing.mix(docs).count() == 0
     assert mixing.training_order(docs).count() == 0
+
+
+def test_furniture_is_whole_words_and_a_share_of_the_line(spark):
+    lines = {
+        "All rights reserved.": True, "Copyright 2020 Someone. All rights reserved.": True, "Please sign in.": True,
+        "Click here for more!": True, "She chose a design in blue.": False, "It is in the catalog in print.": False,
+        "He wrote on his blog in May.": False, "They had a dialog in French.": False,
+        "The court held that the privacy policy of the company was not part of the contract between them.": False,
+    }
+    table = spark.createDataFrame([(x,) for x in lines], "line string")
+    found = table.select("line", quality.line_fails(F.col("line")).alias("fails")).collect()
+    assert {r["line"]: r["fails"] for r in found} == lines
