@@ -23,6 +23,7 @@ HEADLINE = (
     "a10_context_totals_n5",
     "a12_perplexity_n3",
     "a13_topk_accuracy_n5",
+    "a15_score_grid",
     "a15_score_grid_first",
     "n9_complete",
     "a1_tree_metrics",
