@@ -7,8 +7,10 @@ pages, counted, and one edge each way between a host and its parent domain (two
 least).  Personalised PageRank carries trust forwards from trusted seeds, and distrust backwards
 from blocked ones; a host with more distrust than trust is blocked.
 
-Ranks are whole numbers out of ``SCALE`` and shares are parts per million, so sums do not depend
-on the order in which tasks finish.
+Ranks are whole numbers out of ``SCALE``, so sums do not depend on the order in which tasks
+finish.  A host of up to ``PPM_LINKS`` links gives shares in whole parts per million, where none
+is below 1,000; one of more gives rank * weight / links, rounded down once, so no link of a hub
+has a share of nothing.  There are at least ``ROUNDS`` rounds, and more while they reach new hosts.
 
 Defined cases: a url that is null or has no ``://`` has an empty host and path, no rule, and is
 allowed; null html has no links; unknown hosts have no trust and no distrust and are allowed;
@@ -32,6 +34,7 @@ SCALE = 10**12
 MILLION = 10**6
 DAMPING_PERCENT = 85
 ROUNDS = 16
+PPM_LINKS = 1000
 
 LINK = r"(?i)\bhref[\x20\x09-\x0D]*=[\x20\x09-\x0D]*[\x22\x27]?([a-z][a-z0-9+.-]*://[^\x22\x27>\x20\x09-\x0D]*|//[^\x22\x27>\x20\x09-\x0D]*)"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -81,6 +84,8 @@ def host_edges(pages: DataFrame, hosts: DataFrame) -> DataFrame:
 def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: int = DAMPING_PERCENT) -> DataFrame:
     """(host, trust, distrust) from seeds (host, allowed, blocked) over ``edges``.
 
+    After ``rounds`` rounds, further ones follow until one reaches no host anew.
+
     Every round joins ranks with arcs and sums per target; its result is written out, so
     plans stay short and a round survives lost executors.  A hub's arcs are split at the join.
     """
@@ -94,21 +99,36 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping:
     out = edges.groupBy("src").agg(F.sum("weight").alias("out"))
     back = edges.groupBy("dst").agg(F.sum("weight").alias("back"))
     shared = edges.join(out, "src").join(back, "dst")
-    ppm = lambda t: F.expr(f"weight * {MILLION} div {t}")
-    none = F.lit(0).cast("long")
+    # A share is ``t`` of ``t_of``.
+    few = lambda t: F.col(t) <= PPM_LINKS
+    share = lambda t: F.when(few(t), F.expr(f"weight * {MILLION} div {t}")).otherwise(F.col("weight"))
+    whole = lambda t: F.when(few(t), F.lit(MILLION).cast("long")).otherwise(F.col(t))
+    none, one = F.lit(0).cast("long"), F.lit(1).cast("long")
     arcs = stored(
-        shared.select(F.col("src").alias("host"), F.col("dst").alias("to"), ppm("out").alias("t"), none.alias("d"))
-        .unionByName(shared.select(F.col("dst").alias("host"), F.col("src").alias("to"), none.alias("t"), ppm("back").alias("d")))
+        shared.select(
+            F.col("src").alias("host"), F.col("dst").alias("to"),
+            share("out").alias("t"), whole("out").alias("t_of"), none.alias("d"), one.alias("d_of"),
+        ).unionByName(shared.select(
+            F.col("dst").alias("host"), F.col("src").alias("to"),
+            none.alias("t"), one.alias("t_of"), share("back").alias("d"), whole("back").alias("d_of"),
+        ))
     )
     start = lambda c: F.expr(f"{c} * {100 - damping} div 100").alias(c)
-    flow = lambda c, p: F.expr(f"({c} * {p} div {MILLION}) * {damping} div 100").alias(c)
+    # A rank times the links of a hub can pass 64 bits.
+    part_of = lambda c, p: f"cast({c} as decimal(19,0)) * cast({p} as decimal(18,0)) div {p}_of"
+    flow = lambda c, p: F.expr(f"({part_of(c, p)}) * {damping} div 100").alias(c)
     restart = base.select("host", start("trust"), start("distrust"))
-    ranks = base
-    for _ in range(rounds):
+    reached = lambda r: sum(r.agg(F.count_if(F.col("trust") > 0), F.count_if(F.col("distrust") > 0)).first())
+    ranks, done = base, 0
+    before = hosts = reached(base) if rounds <= 1 else 0
+    while done < rounds or hosts > before:
         moved = arcs.join(ranks, "host").select(F.col("to").alias("host"), flow("trust", "t"), flow("distrust", "d"))
         ranks = stored(
             moved.unionByName(restart).groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust"))
         )
+        done += 1
+        # Counted from the last round but one.
+        before, hosts = hosts, reached(ranks) if done >= rounds - 1 else 0
     return ranks
 
 

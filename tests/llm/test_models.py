@@ -216,3 +216,28 @@ def test_empty_pages(spark):
     found = spark.createDataFrame([("http://a.b.c.org/",)], "url string").select(url_filters.host_of(F.col("url")).alias("host"))
     edges = url_filters.host_edges(spark.createDataFrame([], "url string, html string"), found).collect()
     assert sorted((r["src"], r["dst"], r["weight"]) for r in edges) == [("a.b.c.org", "b.c.org", 1), ("b.c.org", "a.b.c.org", 1)]
+
+
+def test_hubs_pass_on_every_share(spark):
+    links = 3_000_000
+    edges = [("hub.com", "large.com", links - 2), ("hub.com", "a.com", 1), ("hub.com", "b.com", 1), ("c.com", "hub.com", 1), ("large.com", "hub.com", links)]
+    ranks = url_filters.propagate(
+        spark.createDataFrame(edges, "src string, dst string, weight long"),
+        spark.createDataFrame([("hub.com", 1, 0), ("a.com", 0, 1)], "host string, allowed long, blocked long"),
+        rounds=1,
+    )
+    found = {r["host"]: r for r in ranks.collect()}
+    # Further rounds follow the first; the least a hub's single link carries is its restart.
+    assert found["a.com"]["trust"] >= url_filters.SCALE * 15 // 100 // links * 85 // 100 > 0
+    assert found["a.com"]["trust"] == found["b.com"]["trust"]
+    assert found["hub.com"]["distrust"] > 0 and found["c.com"]["distrust"] > 0
+
+
+def test_rounds_go_on_until_no_host_is_new(spark):
+    name = "h{:02}.com".format
+    edges = [(name(i), name(i + 1), 1) for i in range(24)]
+    ranks = url_filters.propagate(
+        spark.createDataFrame(edges, "src string, dst string, weight long"),
+        spark.createDataFrame([(name(0), 1, 0)], "host string, allowed long, blocked long"),
+    )
+    assert {r["host"] for r in ranks.collect() if r["trust"] > 0} == {name(i) for i in range(25)}
