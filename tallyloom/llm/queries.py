@@ -1,4 +1,4 @@
-"""The ten operators as queries over the given tables."""
+"""The operators as queries over the given tables."""
 
 from __future__ import annotations
 
@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, byte_cnn, licenses, line_dedup, mixing, ngram_join, quality, token_files, url_filters, vector_dedup
+from . import (
+    alignment, bpe, byte_cnn, chunked_bpe, licenses, line_dedup, mixing, ngram_join, periodic_runs, quality, token_files,
+    url_filters, vector_dedup,
+)
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,3 +83,19 @@ def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan(table(spark, sf_dir, "documents"))
     return found.withColumn("families", F.array_join("families", " ")).drop("spans")
+
+
+@query
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.digests(table(spark, sf_dir, "documents"), a, b)
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunked_bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
