@@ -44,7 +44,7 @@ CUT_BITS = 9
 _DOUBLINGS = 5
 # Characters in one generation of the store, beside the words a worker keeps.
 STORE_CHARS = 12_000_000
-STORE_WORDS = 400_000
+STORE_WORDS = 1_000_000
 SLICE_CHARS = 2_000_000
 
 _NONE = np.zeros(0, np.int32)
