@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from functools import reduce
+import uuid
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from typing import TYPE_CHECKING
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.bands import format_predictions
 from ..functions.randomness import uniform
@@ -24,8 +26,8 @@ MIN_CONTEXT, MAX_CONTEXT = 3, 10
 TOP_CANDIDATES = 5
 STOP_TOKENS = ("}", ";")
 MAX_COMPLETION = 50
-# Buckets of the candidate table: as many as a long has bits.
-BUCKETS = 64
+# Rows a bucket of the candidate table may hold, of it or of the contexts looked up there.
+BUCKET_ROWS = 1_000_000
 
 
 def min_prompt_length(tokens: str = "code_tokens", minimum: int = MIN_CONTEXT) -> Column:
@@ -121,25 +123,36 @@ def sample_next(candidates: Column, draw: Column) -> Column:
     return F.when((F.size(candidates) > 0) & (everything > 0), chosen)
 
 
-def _touched(tail: Column, n: int) -> Column:
-    """Bits of the buckets in which the contexts tried for a prompt may lie."""
-    one = F.lit(1).cast("bigint")
-    return F.aggregate(
-        backoff_tries(tail, n), F.lit(0).cast("bigint"),
-        lambda bits, t: bits.bitwiseOR(F.call_function("shiftleft", one, bucket_of(t["ctx"]))),
-    )
+def buckets_for(rows: int, spark: SparkSession) -> int:
+    """Enough buckets that none holds much more than ``BUCKET_ROWS`` rows, and every core has one."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // BUCKET_ROWS))
+
 
+@contextmanager
+def candidate_table(model: FittedNGramModel, asked: int) -> Iterator[DataFrame]:
+    """The model's best continuations, bucketed and sorted by context in the shared folder.
 
-def bucket_of(ctx: Column) -> Column:
-    return F.pmod(F.xxhash64(ctx), F.lit(BUCKETS)).cast("int")
+    Its buckets are what a shuffle by context would make, so contexts that are looked up are
+    brought to them and the table itself stays where it is.  ``asked`` bounds the contexts
+    looked up at once.  The catalog knows the table only while it is in use.
+    """
+    spark = model.counts.sparkSession
+    buckets = buckets_for(max(model.counts.count(), asked), spark)
+    name = f"candidates_{uuid.uuid4().hex}"
+    listed = model.candidates(TOP_CANDIDATES).select("ctx", "candidates").repartition(buckets, "ctx")
+    listed.write.bucketBy(buckets, "ctx").sortBy("ctx").option("path", scratch_path(spark)).saveAsTable(name)
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
 
 
-def lay_out_candidates(model: FittedNGramModel) -> DataFrame:
-    """The model's best continuations as a table in the shared folder, by bucket of the context's hash."""
-    path = scratch_path(model.counts.sparkSession)
-    listed = model.candidates(TOP_CANDIDATES).select("ctx", "candidates", bucket_of(F.col("ctx")).alias("bucket"))
-    listed.repartitionByRange("bucket", "ctx").write.partitionBy("bucket").parquet(path)
-    return model.counts.sparkSession.read.schema(listed.schema).parquet(path)
+def look_up(candidates: DataFrame, tries: DataFrame) -> DataFrame:
+    """The candidates of every context that is tried; only distinct contexts are shuffled.
+
+    The contexts are the built side, so the table is streamed as it lies and never sorted.
+    """
+    return candidates.join(tries.select("ctx").distinct().hint("shuffle_hash"), "ctx")
 
 
 def complete(
@@ -152,55 +165,54 @@ def complete(
     ``max_length`` bounds the output and is part of what is asked for.
 
     A step carries only ids and the last n-1 tokens of the prompts still open.  It looks up
-    their distinct contexts, reading only buckets of the candidate table in which one of
-    them may lie, and meets the prompts with what was found; a context that very many
-    prompts share is split there.  Each step's rows are written once; the number of open
-    prompts and the buckets of the next step are observed while they are.
+    their distinct contexts in the bucketed candidates, which are not shuffled, and meets the
+    prompts with what was found; a context that very many prompts share is split there.
+    Each step's rows are written once, as one part of a table; the number of open prompts
+    is observed while they are.
     """
     spark, n = prompts.sparkSession, model.n
-    candidates = lay_out_candidates(model)
     width = max(n - 1, 1)
     last = lambda tokens: F.slice(tokens, F.greatest(F.size(tokens) - (width - 1), F.lit(1)), width)
     root = scratch_path(spark)
 
-    def write(rows: DataFrame, open_: Column, name: str) -> tuple[int, int]:
+    def write(rows: DataFrame, open_: Column, name: str) -> int:
         seen = Observation()
-        bits = F.bit_or(F.when(open_, _touched(F.col("tail"), n)))
-        rows.observe(seen, F.count_if(open_).alias("open"), bits.alias("bits")).write.parquet(f"{root}/{name}")
-        return seen.get["open"], (seen.get["bits"] or 0) % (1 << 64)
+        rows.observe(seen, F.count_if(open_).alias("open")).write.parquet(f"{root}/{name}")
+        return seen.get["open"]
 
     start = prompts.select(row_id, last(F.col(context)).alias("tail"))
-    left, bits = write(start, F.lit(True), "start")
+    left = write(start, F.lit(True), "start")
     state = spark.read.schema(start.schema).parquet(f"{root}/start")
-    made, step = [], 0
-    while left and step < max_length:
-        tries = state.select(row_id, "tail", F.inline(backoff_tries(F.col("tail"), n)))
-        near = candidates.where(F.col("bucket").isin([b for b in range(BUCKETS) if bits >> b & 1]))
-        found = stored(tries.select("ctx").distinct().join(near.select("ctx", "candidates"), "ctx"))
-        best = tries.join(found, "ctx").groupBy(row_id).agg(
-            F.min_by("candidates", "level").alias("candidates"), F.any_value("tail").alias("tail")
-        )
-        token = sample_next(F.col("candidates"), uniform(f"{seed}:step", F.lit(step), F.col(row_id)))
-        emitted = F.col("token").isNotNull() & (F.col("token") != END)
-        rows = (
-            best.withColumn("token", token)
-            .withColumn("token", F.when(emitted, F.col("token")))
-            .withColumn("goes_on", F.coalesce(~F.col("token").isin(*STOP_TOKENS), F.lit(False)))
-            .select(row_id, F.lit(step).alias("step"), "token", "candidates", "goes_on",
-                    F.when(F.col("goes_on"), last(F.concat("tail", F.array("token")))).alias("tail"))
-        )
-        left, bits = write(rows, F.col("goes_on"), f"step-{step}")
-        written = spark.read.schema(rows.schema).parquet(f"{root}/step-{step}")
-        made.append(written.select(row_id, "step", "token", "candidates"))
-        state = written.where("goes_on").select(row_id, "tail")
-        step += 1
-    if not made:
-        kind = candidates.schema["candidates"].dataType.simpleString()
+    if not left or max_length <= 0:
+        kind = "array<struct<token:string,prob:double>>"
         return prompts.withColumn("completion", F.array().cast("array<string>")).withColumn(
             "steps", F.array().cast(f"array<{kind}>")
         )
+    with candidate_table(model, left * width) as candidates:
+        for step in range(max_length):
+            tries = state.select(row_id, "tail", F.inline(backoff_tries(F.col("tail"), n)))
+            found = stored(look_up(candidates, tries))
+            best = tries.join(found, "ctx").groupBy(row_id).agg(
+                F.min_by("candidates", "level").alias("candidates"), F.any_value("tail").alias("tail")
+            )
+            token = sample_next(F.col("candidates"), uniform(f"{seed}:step", F.lit(step), F.col(row_id)))
+            emitted = F.col("token").isNotNull() & (F.col("token") != END)
+            rows = (
+                best.withColumn("token", token)
+                .withColumn("token", F.when(emitted, F.col("token")))
+                .withColumn("goes_on", F.coalesce(~F.col("token").isin(*STOP_TOKENS), F.lit(False)))
+                .select(row_id, "token", "candidates", "goes_on",
+                        F.when(F.col("goes_on"), last(F.concat("tail", F.array("token")))).alias("tail"))
+            )
+            left = write(rows, F.col("goes_on"), f"steps/step={step}")
+            if not left:
+                break
+            written = spark.read.schema(rows.schema).parquet(f"{root}/steps/step={step}")
+            state = written.where("goes_on").select(row_id, "tail")
+    kinds = T.StructType([*rows.schema, T.StructField("step", T.IntegerType())])
+    made = spark.read.schema(kinds).parquet(f"{root}/steps")
     every = F.sort_array(F.collect_list(F.struct("step", "token", "candidates")))
-    gathered = reduce(DataFrame.unionByName, made).groupBy(row_id).agg(every.alias("__steps"))
+    gathered = made.groupBy(row_id).agg(every.alias("__steps"))
     completed = prompts.join(gathered, row_id, "left")
     steps = F.coalesce("__steps", F.array())
     return completed.withColumn("completion", F.filter(F.transform("__steps", lambda s: s["token"]), lambda t: t.isNotNull())).withColumns(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import naming
 from ..schema import METRIC_NAMES
-from .ordinals import first_in_order, join_on, with_ordinal
+from .ordinals import first_in_order, join_on, with_block
 
 # Defaults of a mining run.
 LANGUAGE = "java"
@@ -159,7 +159,8 @@ def mining_cap(
 ) -> DataFrame:
     """The first ``n`` methods in traversal order, repository by repository; all for ``None``.
 
-    ``repo`` names the columns ``repo_order`` sorts by; ``order`` sorts inside a repository.
+    ``repo`` names the columns ``repo_order`` sorts by; ``order`` sorts inside a repository,
+    ascending.
     """
     if n is None:
         return df
@@ -169,9 +170,8 @@ def mining_cap(
 def chunk_number(
     df: DataFrame, repo: Sequence[str], order: Sequence[Column], chunk_size: int = CHUNK_SIZE
 ) -> DataFrame:
-    """The output chunk of each method, from its ordinal inside its repository."""
-    numbered = with_ordinal(df, order, repo, "__no")
-    return numbered.withColumn("chunk", F.floor((F.col("__no") - 1) / chunk_size) + 1).drop("__no")
+    """The output chunk of each method, from its place inside its repository, in ascending ``order``."""
+    return with_block(df, order, repo, chunk_size, "chunk")
 
 
 def mining_report(df: DataFrame, repo: str = "repo_url", chunk_size: int = CHUNK_SIZE) -> DataFrame:

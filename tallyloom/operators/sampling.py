@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.randomness import seeded_hash
 from ..session import materialize
 from .cleaning import quality_filter
-from .ordinals import with_ordinal, with_seeded_rank
+from .ordinals import with_ordinal
+from .selection import with_chosen
 
 # The sizes and the seed of the data set.
 N_TRAIN = 20_000
@@ -66,9 +67,10 @@ def proportional_sample(
     row_id: str = "id",
 ) -> DataFrame:
     """A random sample of each repository in proportion to its size."""
-    return with_seeded_rank(
-        df, repo, seed, [row_id], "__rank", lambda counts: sample_quotas(counts, n, on_shortfall, repo)
-    ).drop("__rank")
+    marked = with_chosen(
+        df, repo, seed, [row_id], lambda counts: sample_quotas(counts, n, on_shortfall, repo), "__chosen"
+    )
+    return marked.where("__chosen").drop("__chosen")
 
 
 def shuffle(df: DataFrame, seed: int = SEED, row_id: str = "id") -> DataFrame:
@@ -116,11 +118,9 @@ def stratified_split(
     def train_quota(counts: DataFrame) -> DataFrame:
         return split_quotas(counts, test_fraction, repo).withColumnRenamed("train_rows", "quota")
 
-    ranked = with_seeded_rank(
-        df, repo, f"split:{seed}", [row_id], "__rank", train_quota, only_within=False
-    )
-    split = F.when(F.col("__rank") <= F.col("quota"), F.lit("train")).otherwise(F.lit("test"))
-    return ranked.withColumn("dataset_split", split).drop("__rank", "quota")
+    marked = with_chosen(df, repo, f"split:{seed}", [row_id], train_quota, "__train")
+    split = F.when(F.col("__train"), F.lit("train")).otherwise(F.lit("test"))
+    return marked.withColumn("dataset_split", split).drop("__train")
 
 
 def order_splits(df: DataFrame, seed: int = SEED, row_id: str = "id") -> DataFrame:

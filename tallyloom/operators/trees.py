@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from ..functions import patterns as P
@@ -31,73 +32,102 @@ IDENTIFIER = "identifier"
 DECLARATION = "method_declaration"
 PARAMETERS = "formal_parameters"
 UNKNOWN = "unknown"
+TREE_METRICS = ("n_ast_nodes", "ast_depth", "n_identifiers", "vocab_size", "token_counts")
 
 
 def with_leaf_flag(nodes: DataFrame) -> DataFrame:
     """Add ``is_leaf``: no node names this one as its parent.
 
-    A table that has the column keeps it.  Elsewhere all nodes meet the ids of parents, which
-    moves their texts too: whoever makes node tables should fill the column.
+    A table that has the column keeps it.  Elsewhere each node calls its parent, and what meets
+    is a node and its children's calls; the shuffle is by record, so that aggregations by
+    record need no other.
     """
     if "is_leaf" in nodes.columns:
         return nodes
-    parents = (
-        nodes.where(F.col("parent_id").isNotNull())
-        .select("record_id", F.col("parent_id").alias("node_id"))
-        .distinct()
-        .withColumn("__inner", F.lit(True))
+    others = [f for f in nodes.schema if f.name not in ("record_id", "node_id")]
+    kind = T.StructType(others)
+    own = F.struct(F.col("node_id").alias("id"), F.struct(*[f.name for f in others]).alias("own"))
+    call = F.struct(F.col("parent_id").alias("id"), F.lit(None).cast(kind).alias("own"))
+    met = (
+        nodes.select("record_id", F.inline(F.array_compact(F.array(own, F.when(F.col("parent_id").isNotNull(), call)))))
+        .repartition("record_id")
+        .groupBy("record_id", "id")
+        .agg(F.any_value("own", ignoreNulls=True).alias("own"), F.count_if(F.col("own").isNull()).alias("calls"))
     )
-    return (
-        nodes.join(parents, ["record_id", "node_id"], "left")
-        .withColumn("is_leaf", F.col("__inner").isNull())
-        .drop("__inner")
+    return met.where(F.col("own").isNotNull()).select(
+        "record_id", F.col("id").alias("node_id"), "own.*", (F.col("calls") == 0).alias("is_leaf")
     )
 
 
-def tree_metrics(nodes: DataFrame) -> DataFrame:
-    """A1: size, depth, distinct identifiers, leaves and distinct leaf texts per record.
+def record_facts(
+    nodes: DataFrame, branch_types: Sequence[str] = BRANCH_TYPES, order: str = "level", leaves: bool = True
+) -> DataFrame:
+    """All facts of each record's tree in one aggregation; what is not selected is not computed.
 
-    Two aggregations instead of two ``count(distinct)``: first one row per record and
-    text, where only the texts of leaves and identifiers travel if leaves are flagged, then
-    one per record.
+    Texts of leaves and identifiers are gathered as sets, and children report to their
+    parents by id: an expression is a short circuit if it is binary, its second child is such
+    an operator and it has a third.  Sets and lists are as large as one record's tree.
     """
-    is_identifier = F.col("node_type") == IDENTIFIER
-    per_text = (
-        with_leaf_flag(nodes)
-        .withColumn("__text", F.when(F.col("is_leaf") | is_identifier, F.col("text")))
-        .groupBy("record_id", "__text")
-        .agg(
-            F.count(F.lit(1)).alias("nodes"),
-            F.max("depth").alias("depth"),
-            F.max(is_identifier.cast("int")).alias("identifier"),
-            F.sum(F.col("is_leaf").cast("int")).alias("leaves"),
-        )
+    if order not in ("level", "source"):
+        raise ValueError(f"unknown token order {order!r}")
+    kind, text, nth = F.col("node_type"), F.col("text"), F.col("sibling_ord")
+    columns = ["record_id", "node_id", "parent_id", "sibling_ord", "depth", "node_type", "text"]
+    table = nodes.select(*columns, *(["is_leaf"] if leaves and "is_leaf" in nodes.columns else []))
+    identifier = kind == IDENTIFIER
+    if leaves:
+        table = with_leaf_flag(table)
+        identifier_or_leaf = F.col("is_leaf") | identifier
+    else:
+        identifier_or_leaf = identifier
+    # Of all texts only those that are counted or listed go on.
+    table = table.select(
+        "record_id", "node_id", "parent_id", "depth", identifier.alias("identifier"),
+        kind.isin(*branch_types).alias("branch"), (kind == "binary_expression").alias("binary"),
+        ((nth == 1) & text.isin(*SHORT_CIRCUIT)).alias("operator"), (nth == 2).alias("third"),
+        F.when(F.col("parent_id").isNull(), text.rlike(P.NOT_WS)).alias("has_code"),
+        F.when(identifier_or_leaf, text).alias("text"), *(["is_leaf"] if leaves else []),
     )
-    return per_text.groupBy("record_id").agg(
-        F.sum("nodes").alias("n_ast_nodes"),
+
+    def ids(condition: str, name: str) -> Column:
+        return F.collect_set(F.when(F.col(condition), F.col(name)))
+
+    facts = [
+        F.count(F.lit(1)).alias("n_ast_nodes"),
         F.max("depth").cast("bigint").alias("ast_depth"),
-        F.sum("identifier").alias("n_identifiers"),
-        F.count_if(F.col("leaves") > 0).alias("vocab_size"),
-        F.sum("leaves").alias("token_counts"),
+        F.size(ids("identifier", "text")).cast("bigint").alias("n_identifiers"),
+        F.count_if("branch").alias("branches"),
+        F.size(
+            F.array_intersect(F.array_intersect(ids("binary", "node_id"), ids("third", "parent_id")), ids("operator", "parent_id"))
+        ).cast("bigint").alias("short_circuits"),
+        F.max("has_code").alias("has_code"),
+    ]
+    if leaves:
+        place = ["depth", "node_id"] if order == "level" else ["node_id"]
+        facts += [
+            F.size(ids("is_leaf", "text")).cast("bigint").alias("vocab_size"),
+            F.count_if("is_leaf").alias("token_counts"),
+            F.transform(
+                F.sort_array(F.collect_list(F.when(F.col("is_leaf"), F.struct(*place, "text")))), lambda x: x["text"]
+            ).alias("code_tokens"),
+        ]
+    return table.groupBy("record_id").agg(*facts).withColumn(
+        "cyclomatic_complexity",
+        F.when(F.col("has_code"), 1 + F.col("branches") + F.col("short_circuits")).otherwise(F.lit(0)),
     )
 
 
+def tree_metrics(nodes: DataFrame) -> DataFrame:
+    """A1: size, depth, distinct identifiers, leaves and distinct leaf texts per record."""
+    return record_facts(nodes).select("record_id", *TREE_METRICS)
+
+
 def leaf_tokens(nodes: DataFrame, order: str = "level") -> DataFrame:
-    """A2: the leaf texts of each record as one array.
+    """A2: the leaf texts of each record as one array; a record without leaves has none.
 
     ``level``: level by level, left to right.  ``source``: as they stand in the code,
     for tables whose ``node_id`` follows the source.
     """
-    if order not in ("level", "source"):
-        raise ValueError(f"unknown token order {order!r}")
-    place = ["depth", "node_id"] if order == "level" else ["node_id"]
-    leaves = with_leaf_flag(nodes).where("is_leaf").select("record_id", *place, "text")
-    # The array is the record's own value, as long as its code.
-    return leaves.groupBy("record_id").agg(
-        F.transform(
-            F.sort_array(F.collect_list(F.struct(*place, "text"))), lambda leaf: leaf["text"]
-        ).alias("code_tokens")
-    )
+    return record_facts(nodes, order=order).select("record_id", "code_tokens")
 
 
 def branch_complexity(nodes: DataFrame, branch_types: Sequence[str] = BRANCH_TYPES) -> DataFrame:
@@ -105,48 +135,17 @@ def branch_complexity(nodes: DataFrame, branch_types: Sequence[str] = BRANCH_TYP
 
     The root's text is the source.
     """
-    children = nodes.where(F.col("parent_id").isNotNull())
-
-    def having_child(wanted: DataFrame) -> DataFrame:
-        return wanted.select("record_id", F.col("parent_id").alias("node_id"))
-
-    operator_second = having_child(
-        children.where((F.col("sibling_ord") == 1) & F.col("text").isin(*SHORT_CIRCUIT))
-    )
-    has_third = having_child(children.where(F.col("sibling_ord") == 2))
-    short_circuits = (
-        nodes.where(F.col("node_type") == "binary_expression")
-        .select("record_id", "node_id")
-        .join(operator_second, ["record_id", "node_id"], "left_semi")
-        .join(has_third, ["record_id", "node_id"], "left_semi")
-    )
-    is_root = F.col("parent_id").isNull()
-    has_code = F.col("text").rlike(P.NOT_WS)
-    points = nodes.select(
-        "record_id",
-        F.col("node_type").isin(*branch_types).cast("bigint").alias("points"),
-        F.when(is_root, has_code).alias("has_code"),
-    ).unionByName(
-        short_circuits.select(
-            "record_id", F.lit(1).cast("bigint").alias("points"), F.lit(None).cast("boolean").alias("has_code")
-        )
-    )
-    return points.groupBy("record_id").agg(
-        F.when(F.max("has_code"), 1 + F.sum("points"))
-        .otherwise(F.lit(0))
-        .alias("cyclomatic_complexity")
-    )
+    return record_facts(nodes, branch_types, leaves=False).select("record_id", "cyclomatic_complexity")
 
 
 def all_metrics(nodes: DataFrame, texts: DataFrame, with_tokens: bool = False) -> DataFrame:
-    """Every metric of each record; ``texts`` has ``record_id`` and ``text``."""
-    flagged = with_leaf_flag(nodes)
-    joined = (
-        texts.select("record_id", *text_metrics(F.col("text")))
-        .join(tree_metrics(flagged), "record_id", "left")
-        .join(branch_complexity(nodes), "record_id", "left")
-    )
-    return joined.join(leaf_tokens(flagged), "record_id", "left") if with_tokens else joined
+    """Every metric of each record; ``texts`` has ``record_id`` and ``text``.
+
+    Nodes are read and shuffled once, for all tree metrics and the tokens together.
+    """
+    tokens = ["code_tokens"] if with_tokens else []
+    facts = record_facts(nodes).select("record_id", *TREE_METRICS, "cyclomatic_complexity", *tokens)
+    return texts.select("record_id", *text_metrics(F.col("text"))).join(facts, "record_id", "left")
 
 
 def extract_declarations(nodes: DataFrame) -> DataFrame:

@@ -313,10 +313,10 @@ add("d2_leading_comment", f"""{LEAVES}, before AS (SELECT *, lag(kind) OVER w AS
 
 VOID = ", ".join(f"'{t}'" for t in D.NEVER_CLOSED)
 # A node is a leaf when the node after it is not one level deeper.
-PAGES = f"""parts AS (SELECT page_id, unnest(regexp_extract_all(regexp_replace(html, '{D.SCRIPT_OR_STYLE}', '', 'g'), '{D.TAG_OR_TEXT}')) AS part,
-    unnest(range(len(regexp_extract_all(regexp_replace(html, '{D.SCRIPT_OR_STYLE}', '', 'g'), '{D.TAG_OR_TEXT}')))) AS pos FROM pages),
+PAGES = f"""parts AS (SELECT page_id, unnest(regexp_extract_all(html, '{D.TAG_OR_TEXT}')) AS part,
+    unnest(range(len(regexp_extract_all(html, '{D.TAG_OR_TEXT}')))) AS pos FROM pages),
   tagged AS (SELECT *, regexp_extract(part, '^<([a-zA-Z0-9]+)', 1) AS tag FROM parts),
-  levels AS (SELECT *, 2 + greatest(0, coalesce(sum(CASE WHEN tag <> '' AND tag NOT IN ({VOID}) THEN 1 WHEN part LIKE '</%' THEN -1 ELSE 0 END)
+  levels AS (SELECT *, 2 + greatest(0, coalesce(sum(CASE WHEN tag <> '' AND tag NOT IN ({VOID}) AND NOT regexp_matches(part, '{D.CLOSED}') THEN 1 WHEN part LIKE '</%' THEN -1 ELSE 0 END)
     OVER (PARTITION BY page_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS depth FROM tagged),
   nodes AS (SELECT *, coalesce(lead(depth) OVER (PARTITION BY page_id ORDER BY pos), 0) <= depth AS leaf FROM levels WHERE part NOT LIKE '</%')"""
 add("a1_tree_metrics_pages", PAGES, """SELECT CAST(page_id AS VARCHAR) AS record_id, (1 + count(*))::BIGINT AS n_ast_nodes, max(depth)::BIGINT AS ast_depth,

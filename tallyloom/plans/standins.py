@@ -192,9 +192,11 @@ def document_nodes(spark: SparkSession, sf_dir: str, branching: bool = False) ->
     return root.unionByName(line_nodes).unionByName(token_nodes)
 
 
-# What separates a page into tags and text, and elements that stay open.
-SCRIPT_OR_STYLE = r"(?s)<(script|style)>.*?</(script|style)>"
-TAG_OR_TEXT = "<[^>]+>|[^<]+"
+# What separates a page into tags and text, and elements that stay open.  A script
+# or style with its body is one part: markup inside it is not the page's.
+SCRIPT_OR_STYLE = r"<(?:script|style)\b[^>]*>.*?</(?:script|style)>"
+TAG_OR_TEXT = rf"(?s){SCRIPT_OR_STYLE}|<[^>]+>|[^<]+"
+CLOSED = "</(script|style)>$"
 NEVER_CLOSED = ("br", "meta", "b")
 
 
@@ -202,16 +204,15 @@ def page_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trees of varying depth from the tags of web pages.
 
     An opening tag holds what follows until a closing tag; which one is not looked at, since
-    pages leave tags open.  Text is an identifier, a markup comment a comment.  Windows
-    cover one page each.
+    pages leave tags open.  Text is an identifier, a markup comment a comment, a whole script
+    or style a leaf.  Windows cover one page each.
     """
-    html = F.regexp_replace("html", SCRIPT_OR_STYLE, "")
     parts = table(spark, sf_dir, "pages").select(
         F.col("page_id").cast("string").alias("record_id"),
-        F.posexplode(F.regexp_extract_all(html, F.lit(TAG_OR_TEXT), F.lit(0))).alias("pos", "part"),
+        F.posexplode(F.regexp_extract_all("html", F.lit(TAG_OR_TEXT), F.lit(0))).alias("pos", "part"),
     )
     tag = F.regexp_extract("part", "^<([a-zA-Z0-9]+)", 1)
-    opens = (tag != "") & ~tag.isin(*NEVER_CLOSED)
+    opens = (tag != "") & ~tag.isin(*NEVER_CLOSED) & ~F.col("part").rlike(CLOSED)
     change = F.when(opens, 1).when(F.col("part").startswith("</"), -1).otherwise(0)
     earlier = W.partitionBy("record_id").orderBy("pos").rowsBetween(W.unboundedPreceding, -1)
     level = F.greatest(F.coalesce(F.sum(change).over(earlier), F.lit(0)), F.lit(0)).cast("int") + 2

@@ -3,7 +3,9 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
+from tallyloom.operators import mining as M
 from tallyloom.plans.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -48,3 +50,49 @@ def test_only_needed_columns_are_read(spark):
     assert "ReadSchema: struct<doc_id:bigint>" in text
     text = plan(QUERIES["s2_scan_changes"](spark, SF))
     assert "GreaterThanOrEqual(ts" in text and "props" not in text
+
+
+def test_candidates_stay_where_they_are(spark):
+    from tallyloom.operators import generation as G
+    from tallyloom.operators.ngrams import NGramModel
+
+    rows = [(i, [f"t{(i * j) % 23}" for j in range(30)]) for i in range(60)]
+    train = spark.createDataFrame(rows, "row_ord bigint, code_tokens array<string>")
+    model = NGramModel(3).fit(train)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with G.candidate_table(model, 10) as candidates:
+            contexts = sorted(r.ctx for r in candidates.select("ctx").collect())[::3]
+            asked = spark.createDataFrame([(c,) for c in contexts * 2 + [["no", "where"]]], "ctx array<string>")
+            found = G.look_up(candidates, asked)
+            text = plan(found)
+            assert sorted(r.ctx for r in found.collect()) == contexts
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "ShuffledHashJoin" in text and "Bucketed: true" in text
+    # Of the join's two sides the first is the table: nothing stands between it and the join.
+    streamed = text[text.index("ShuffledHashJoin") : text.index("FileScan")]
+    assert "Exchange" not in streamed and "Sort" not in streamed
+    # The catalog forgets the table.
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("candidates_")]
+
+
+def test_nodes_are_shuffled_once(spark):
+    from tallyloom.operators import trees
+    from tallyloom.plans import standins as D
+
+    texts = D.documents(spark, SF).select(F.col("doc_id").cast("string").alias("record_id"), "text")
+    for nodes in (D.document_nodes(spark, SF, True), D.document_nodes(spark, SF, True).drop("is_leaf")):
+        text = plan(trees.all_metrics(nodes, texts, with_tokens=True))
+        # The texts' numbers are broadcast or shuffled once more, as Spark measures them.
+        own = text.count("Exchange hashpartitioning") + text.count("Exchange rangepartitioning")
+        assert own - text.count("SortMergeJoin") == 1 and text.count("Join ") == 1
+
+
+def test_chunk_keys_travel_without_records(spark):
+    df = spark.range(500).select((F.col("id") % 3).alias("repo"), "id", F.repeat(F.lit("x"), 50).alias("wide"))
+    text = plan(M.chunk_number(df, ["repo"], [F.col("id")], 20))
+    # Only the bounds are exchanged; records meet them where they are.
+    exchanged = [text[m.start() : m.start() + 200] for m in re.finditer("Exchange hashpartitioning", text)]
+    assert len(exchanged) == 1 and "collect_list(__place" in exchanged[0]
+    assert "BroadcastHashJoin" in text
