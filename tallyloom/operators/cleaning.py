@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import patterns as P
 from ..functions import text as X
 from ..schema import CORRUPT
+from ..session import scratch_path
 
 # A method is identified by these columns after standardisation.
 METHOD_KEY = ("repo_name", "file_path", "method_signature")
@@ -92,10 +93,8 @@ def clean_methods(df: DataFrame) -> DataFrame:
     return standardize(df.where(keep))
 
 
-def isolate_bad_rows(
-    df: DataFrame, required: Sequence[str], corrupt: str = CORRUPT
-) -> tuple[DataFrame, DataFrame]:
-    """rows that can be used, and the rest with the reason.
+def with_bad_reason(df: DataFrame, required: Sequence[str], corrupt: str = CORRUPT) -> DataFrame:
+    """Add ``bad_reason``: why a row cannot be used, or null.
 
     A row is bad when it could not be parsed or lacks a required value.
     """
@@ -103,26 +102,66 @@ def isolate_bad_rows(
     if corrupt in df.columns:
         reasons.append(F.when(F.col(corrupt).isNotNull(), F.lit("unparseable")))
     reasons += [F.when(F.col(c).isNull(), F.lit(f"missing {c}")) for c in required]
-    checked = df.withColumn("bad_reason", F.coalesce(*reasons, F.lit(None)))
+    return df.withColumn("bad_reason", F.coalesce(*reasons, F.lit(None)))
+
+
+def isolate_bad_rows(
+    df: DataFrame, required: Sequence[str], corrupt: str = CORRUPT
+) -> tuple[DataFrame, DataFrame]:
+    """rows that can be used, and the rest with the reason.
+
+    The two read ``df`` once each; ``separate`` gives both from one pass.
+    """
+    checked = with_bad_reason(df, required, corrupt)
     good = checked.where(F.col("bad_reason").isNull()).drop("bad_reason", corrupt)
     return good, checked.where(F.col("bad_reason").isNotNull())
 
 
+def passed_steps() -> dict[str, Column]:
+    """For every cleaning step, whether a row passes it and all before it."""
+    passed, found = F.lit(True), {"input": F.lit(True)}
+    for name, step in CLEANING_STEPS:
+        passed = passed & step()
+        found[name] = passed
+    return found
+
+
+def separate(records: DataFrame, required: Sequence[str]) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """F9, P9-P12, F2-F5 and A4 in one pass over nested records that carry ``source_file`` and ``line``.
+
+    Returns clean methods, quarantined lines (``bad_reason, source_file, line``), and the rows
+    seen on the way: all that were read, those quarantined, and those left after every step.
+    Both outputs are parts of one table, and the counts are observed while it is written.
+    """
+    flat = flatten_one_level(with_bad_reason(records, required))
+    usable = F.col("bad_reason").isNull()
+    steps = passed_steps()
+    seen = Observation()
+    observed = flat.observe(
+        seen, F.count(F.lit(1)).alias("read"), F.count_if(~usable).alias("quarantined"),
+        *[F.count_if(usable & passed).alias(name) for name, passed in steps.items()],
+    )
+    spark = records.sparkSession
+    path = scratch_path(spark)
+    kept = observed.where(~usable | steps[CLEANING_STEPS[-1][0]]).withColumns(
+        {"line": F.when(~usable, F.col("line")), "usable": usable}
+    )
+    kept.write.partitionBy("usable").parquet(path)
+    table = spark.read.schema(kept.schema).parquet(path)
+    good = table.where("usable").drop("usable", "bad_reason", "source_file", "line", CORRUPT)
+    bad = table.where("NOT usable").select("bad_reason", "source_file", "line")
+    return standardize(good), bad, dict(seen.get)
+
+
 def step_report(df: DataFrame) -> DataFrame:
     """A4: rows left after every cleaning step and after de-duplication, in one pass.
 
     Rows are first counted per method key, so the last step needs no second scan and a
     method with very many copies is one counter per task.
     """
-    conditions = [step() for _, step in CLEANING_STEPS]
-    standard = standardize(df)
-    passed = [F.lit(True)]
-    for condition in conditions:
-        passed.append(passed[-1] & condition)
-    names = ["input", *[name for name, _ in CLEANING_STEPS]]
-    per_key = standard.groupBy(*METHOD_KEY).agg(
-        *[F.count_if(p).alias(n) for n, p in zip(names, passed)]
-    )
+    standard, passed = standardize(df), passed_steps()
+    names = list(passed)
+    per_key = standard.groupBy(*METHOD_KEY).agg(*[F.count_if(p).alias(n) for n, p in passed.items()])
     totals = per_key.agg(
         *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names],
         F.count_if(F.col(names[-1]) > 0).alias("deduplicated"),

@@ -28,6 +28,8 @@ STOP_TOKENS = ("}", ";")
 MAX_COMPLETION = 50
 # Rows a bucket of the candidate table may hold, of it or of the contexts looked up there.
 BUCKET_ROWS = 1_000_000
+# Contexts that were found, five candidates each, are sent to every task up to this many.
+BROADCAST_CONTEXTS = 100_000
 
 
 def min_prompt_length(tokens: str = "code_tokens", minimum: int = MIN_CONTEXT) -> Column:
@@ -166,7 +168,8 @@ def complete(
 
     A step carries only ids and the last n-1 tokens of the prompts still open.  It looks up
     their distinct contexts in the bucketed candidates, which are not shuffled, and meets the
-    prompts with what was found; a context that very many prompts share is split there.
+    prompts with what was found: sent to all tasks while few prompts are open, and otherwise
+    stored, so that a context that very many prompts share is split there.
     Each step's rows are written once, as one part of a table; the number of open prompts
     is observed while they are.
     """
@@ -191,7 +194,9 @@ def complete(
     with candidate_table(model, left * width) as candidates:
         for step in range(max_length):
             tries = state.select(row_id, "tail", F.inline(backoff_tries(F.col("tail"), n)))
-            found = stored(look_up(candidates, tries))
+            found = look_up(candidates, tries)
+            # A prompt asks for at most n-1 contexts, so the number of open ones bounds what is found.
+            found = F.broadcast(found) if left * width <= BROADCAST_CONTEXTS else stored(found)
             best = tries.join(found, "ctx").groupBy(row_id).agg(
                 F.min_by("candidates", "level").alias("candidates"), F.any_value("tail").alias("tail")
             )

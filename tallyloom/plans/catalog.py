@@ -15,15 +15,19 @@ from ..functions import text as X
 from ..operators import cleaning as C
 from ..operators import evaluation as E
 from ..operators import generation as G
+from ..operators import incremental as I
 from ..operators import mining as M
 from ..operators import ngrams as N
 from ..operators import sampling as S
 from ..operators import trees
 from ..operators.dedupe import dedupe_keep_last, duplicate_report
-from ..session import ensure_checkpoint_dir, stored
+from ..schema import RECORD
+from ..session import ensure_checkpoint_dir, scratch_path, stored
 from ..sources import records as R
 from ..sources import sinks as K
 from . import standins as D
+from .mining import without_tree
+from .preparation import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -35,6 +39,10 @@ LANGUAGE = "automobile"
 SAMPLE_SIZE, SAMPLE_TRAIN, SAMPLE_TEST = 200, 160, 40
 CHUNK, CAP = 100, 5000
 PAGE_BRANCHES = ("li", "p", "h1")
+# Records that are cut off, or lack an id, by the remainder of their first line.
+CUT_OFF, NO_ID, CUT_LENGTH = (17, 5), (19, 7), 40
+ROW_RANGE = (40, 800)
+BATCHES = 3
 # Small limits for the queries that show what a limit does, and the grid with a size of one.
 FIRST_ROWS, FIRST_POSITIONS, FIRST_PER_BAND = 20, 10, 5
 GRID_CONFIGURATIONS = (*E.CONFIGURATIONS, E.Configuration(1, "laplace"), E.Configuration(1, "none"))
@@ -122,6 +130,67 @@ def _(spark, sf):
     )
 
 
+def record_folders(spark: SparkSession, sf: str) -> str:
+    """Record files one folder below a root: some lines are cut off, some records have no id."""
+    start, url = F.col("method.start_line"), F.col("repo.url")
+    line = F.to_json(
+        F.struct(*[F.when(start % NO_ID[0] != NO_ID[1], F.col(c)).alias(c) if c == "id" else F.col(c) for c in RECORD.fieldNames()])
+    )
+    lines = records(spark, sf).select(
+        F.concat_ws("--", naming.repo_owner(url), naming.repo_short_name(url)).alias("folder"),
+        F.when(start % CUT_OFF[0] == CUT_OFF[1], F.substring(line, 1, CUT_LENGTH)).otherwise(line).alias("value"),
+    )
+    path = scratch_path(spark)
+    lines.write.partitionBy("folder").text(path)
+    return path
+
+
+@query("s3_f9_read_folders")
+def _(spark, sf):
+    lines = R.read_record_lines(spark, record_folders(spark, sf), "folders", "part-*")
+    judged = C.with_bad_reason(lines, ["id"])
+    cut = F.col("bad_reason") == "unparseable"
+    return judged.select(
+        F.coalesce("bad_reason", F.lit("ok")).alias("reason"),
+        F.regexp_extract("source_file", "folder=([^/]+)/", 1).alias("folder"),
+        F.when(F.col("bad_reason").isNull(), F.col("id")).alias("id"),
+        F.when(F.coalesce(~cut, F.lit(True)), F.col("method.start_line")).alias("start_line"),
+        F.when(cut, F.length("line")).alias("n_cut"),
+    )
+
+
+@query("s3_f9_a4_prepare_reports")
+def _(spark, sf):
+    done = prepare(
+        spark, record_folders(spark, sf), scratch_path(spark), SAMPLE_TRAIN, SAMPLE_TEST,
+        quarantine=scratch_path(spark), pattern="part-*",
+    )
+    lines = [(-2, "lines read", done.lines_read), (-1, "lines quarantined", done.lines_quarantined)]
+    return done.step_report.unionByName(spark.createDataFrame(lines, done.step_report.schema))
+
+
+@query("f9_files_without_tree")
+def _(spark, sf):
+    changes = D.documents(spark, sf).select(
+        F.col("doc_id").cast("string").alias("record_id"), F.when(F.col("lang") != "de", F.col("text")).alias("source_code")
+    )
+    roots = F.col("depth") == 1
+    nodes = D.document_nodes(spark, sf).where(~roots | (F.col("record_id").cast("bigint") % 7 > 0))
+    return without_tree(changes, nodes).select("record_id")
+
+
+@query("s4_f7_read_split")
+def _(spark, sf):
+    path = scratch_path(spark)
+    K.write_dataset(C.standardize(D.methods(spark, sf)).withColumn("dataset_split", D.split_of(F.col("row_ord"))), path)
+    return split_rows(R.read_dataset(spark, path))
+
+
+def split_rows(dataset: DataFrame) -> DataFrame:
+    rows = E.select_split(dataset, "test").where(F.col("row_ord").between(*ROW_RANGE))
+    return rows.select("id", "repo_name", "method_name", "row_ord")
+
+
 @query("k2_s4_dataset_round_trip")
 def _(spark, sf):
     path = scratch(spark, "dataset")
@@ -553,6 +622,27 @@ def _(spark, sf):
     )
 
 
+@query("n10_a11_train_in_batches")
+def _(spark, sf):
+    rows, model = D.train_rows(spark, sf), None
+    for batch in range(BATCHES):
+        trained = I.train_batch(N.NGramModel(3), rows.where(F.col("row_ord") % BATCHES == batch))
+        model = I.merge(model, trained) if model else trained
+    fitted = model.fitted()
+    v = fitted.vocab_size
+    summed = stored(
+        fitted.counts.agg(
+            F.count(F.lit(1)).alias("pairs"), F.sum("c").alias("occurrences"),
+            F.sum("first_seen").cast("string").alias("first_seen_sum"), F.lit(v).cast("bigint").alias("v"),
+        )
+    )
+    # Four standard errors.
+    close = F.abs(model.estimated_vocabulary().scalar() - v) <= 4 * 1.04 / 2 ** (I.SKETCH_BITS / 2) * v
+    summed = stored(summed.withColumn("sketch_is_close", close))
+    model.forget()
+    return summed
+
+
 @query("j2_n3_score")
 def _(spark, sf):
     model = model_for_test(spark, sf, N.NGramModel(3))

@@ -40,6 +40,12 @@ def method_rows(
     return M.attach_license(joined, licenses)
 
 
+def without_tree(changes: DataFrame, file_nodes: DataFrame) -> DataFrame:
+    """Changes that leave a file with content of which no tree was made; only ids of roots are shuffled to find them."""
+    roots = file_nodes.where(F.col("parent_id").isNull()).select("record_id")
+    return M.has_source(changes).join(roots, "record_id", "left_anti")
+
+
 def mine(
     repos: DataFrame,
     file_changes: DataFrame,
@@ -56,8 +62,8 @@ def mine(
 ) -> DataFrame:
     """Search, scan, measure, cap, write chunked records; returns the report per repository.
 
-    Repositories are visited by stars, most first, and methods in commit order.  A method
-    that was not measured, because its tree is missing, is neither written nor counted
+    Repositories are visited by stars, most first, and methods in commit order.  A file or
+    a method that was not measured, because its tree is missing, is neither written nor counted
     toward the cap; it goes to ``quarantine`` as a JSON line with the reason, where a path is
     given.
     """
@@ -67,7 +73,8 @@ def mine(
     visited = stored(method_rows(changes, file_nodes, method_nodes, licenses))
     methods, failed = isolate_bad_rows(visited, ["n_ast_nodes"])
     if quarantine:
-        failed.write.mode("overwrite").json(quarantine)
+        files = without_tree(changes, file_nodes).drop("source_code").withColumn("bad_reason", F.lit("missing tree"))
+        failed.unionByName(files, allowMissingColumns=True).write.mode("overwrite").json(quarantine)
     capped = stored(
         M.mining_cap(
             methods,

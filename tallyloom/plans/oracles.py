@@ -7,8 +7,8 @@ from ..operators import evaluation as E
 from ..operators import generation as G
 from . import standins as D
 from .catalog import (
-    CAP, CHUNK, FIRST_PER_BAND, FIRST_POSITIONS, FIRST_ROWS, GRID_CONFIGURATIONS, LANGUAGE, PAGE_BRANCHES, PUSHED_SINCE, PUSHED_TO,
-    SAMPLE_SIZE, SAMPLE_TEST, SAMPLE_TRAIN, SINCE, TO,
+    CAP, CHUNK, CUT_LENGTH, CUT_OFF, FIRST_PER_BAND, FIRST_POSITIONS, FIRST_ROWS, GRID_CONFIGURATIONS, LANGUAGE, NO_ID, PAGE_BRANCHES,
+    PUSHED_SINCE, PUSHED_TO, ROW_RANGE, SAMPLE_SIZE, SAMPLE_TEST, SAMPLE_TRAIN, SINCE, TO,
 )
 
 ORACLES: dict[str, str] = {}
@@ -206,6 +206,25 @@ add("k1_s3_records_round_trip", METHODS, f"""SELECT {RECORD_ID} AS id, 'example.
   ((row_number() OVER (PARTITION BY repo_url ORDER BY {RECORD_ID}) - 1) // {CHUNK} + 1)::BIGINT AS chunk,
   replace(repo_url, '.git', '') AS repo_url, method_original_code, len(code_tokens)::BIGINT AS n_tokens,
   metrics_nloc, NULL::VARCHAR AS repo_license FROM methods""")
+REASON = f"""CASE WHEN method_start_line % {CUT_OFF[0]} = {CUT_OFF[1]} THEN 'unparseable'
+  WHEN method_start_line % {NO_ID[0]} = {NO_ID[1]} THEN 'missing id' ELSE 'ok' END"""
+add("s3_f9_read_folders", f"{METHODS}, judged AS (SELECT *, {REASON} AS reason FROM methods)", f"""SELECT reason,
+  'example.org--' || regexp_extract(repo_url, '/([^/]*)\\.git$', 1) AS folder, CASE WHEN reason = 'ok' THEN {RECORD_ID} END AS id,
+  CASE WHEN reason <> 'unparseable' THEN method_start_line END AS start_line,
+  CASE WHEN reason = 'unparseable' THEN {CUT_LENGTH} END AS n_cut FROM judged""")
+_STEPS = ("true", VALID_NAME, VALID_LINES, VALID_NLOC, VALID_PARSE)
+_STEP_NAMES = ("input", "valid_method_name", "valid_line_span", "nloc_between", "parsed_ok")
+add("s3_f9_a4_prepare_reports", f"{STANDARD}, judged AS (SELECT *, {REASON} AS reason FROM standard)",
+    "SELECT -2 AS step_no, 'lines read' AS step, count(*) AS rows FROM judged UNION ALL "
+    "SELECT -1, 'lines quarantined', count(*) FILTER (reason <> 'ok') FROM judged UNION ALL "
+    + " UNION ALL ".join(
+        f"SELECT {i}, '{name}', count(*) FROM judged WHERE reason = 'ok' AND {' AND '.join(_STEPS[: i + 1])}"
+        for i, name in enumerate(_STEP_NAMES))
+    + f" UNION ALL SELECT {len(_STEPS)}, 'deduplicated', count(DISTINCT (repo_name, file_path, method_signature)) FROM judged "
+    f"WHERE reason = 'ok' AND {' AND '.join(_STEPS)}")
+add("f9_files_without_tree", "", "SELECT CAST(doc_id AS VARCHAR) AS record_id FROM documents WHERE doc_id % 7 = 0 AND lang <> 'de' AND text <> ''")
+add("s4_f7_read_split", STANDARD, f"""SELECT id, repo_name, method_name, row_ord FROM standard
+  WHERE substr(md5('42:' || id), 1, 1) IN ('0', '1', '2') AND row_ord BETWEEN {ROW_RANGE[0]} AND {ROW_RANGE[1]}""")
 add("k2_s4_dataset_round_trip", STANDARD, """SELECT id, repo_name, method_name, method_original_code, '' AS method_doc_comment,
   len(code_tokens)::BIGINT AS n_tokens, metrics_nloc, row_ord FROM standard""")
 
@@ -374,6 +393,8 @@ add("n4_fit_context", TOKENS, """SELECT row_ord, array_to_string(list_transform(
   || code_tokens[greatest(len(code_tokens) - 9, 1):], ' ') AS ctx FROM rows""")
 add("n10_train", f"{TOKENS}, {counts(3)}, {VOCABULARY}", """SELECT count(*) AS pairs, count(DISTINCT ctx) AS contexts,
   sum(c)::BIGINT AS occurrences, any_value(v) AS v FROM counts, vocab""")
+add("n10_a11_train_in_batches", f"{TOKENS}, {counts(3)}, {VOCABULARY}", """SELECT count(*) AS pairs, sum(c)::BIGINT AS occurrences,
+  CAST(sum(first_seen) AS VARCHAR) AS first_seen_sum, any_value(v) AS v, true AS sketch_is_close FROM counts, vocab""")
 add("j2_n3_score", f"{TOKENS}, {TEST}, {counts(3)}, {VOCABULARY}, {looked_up(3, 'test', 'found')}",
     f"""SELECT DISTINCT ctx, nxt, c, ct, round({probability('none', None)}, 6) AS p_none,
   round({probability('laplace', None)}, 6) AS p_laplace, round({probability('add-k', 0.1)}, 6) AS p_add_k FROM found, vocab""")

@@ -6,7 +6,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -59,14 +59,18 @@ def methods(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def split_of(row: Column) -> Column:
+    """The split of a row, by its seeded hash."""
+    return F.when(F.substring(seeded_hash(42, row), 1, 1).isin(*TEST_DIGITS), "test").otherwise("train")
+
+
 def token_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token sequences with a split: (row_ord, code_tokens, complexity, dataset_split)."""
-    digit = F.substring(seeded_hash(42, F.col("doc_id")), 1, 1)
     return documents(spark, sf_dir).select(
         F.col("doc_id").alias("row_ord"),
         X.split_words_and_symbols(F.col("text")).alias("code_tokens"),
         (F.regexp_count("text", F.lit(",")) + 1).cast("bigint").alias("metrics_cyclomatic_complexity"),
-        F.when(digit.isin(*TEST_DIGITS), "test").otherwise("train").alias("dataset_split"),
+        split_of(F.col("doc_id")).alias("dataset_split"),
     )
 
 

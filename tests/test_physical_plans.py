@@ -96,3 +96,22 @@ def test_chunk_keys_travel_without_records(spark):
     exchanged = [text[m.start() : m.start() + 200] for m in re.finditer("Exchange hashpartitioning", text)]
     assert len(exchanged) == 1 and "collect_list(__place" in exchanged[0]
     assert "BroadcastHashJoin" in text
+
+
+def test_a_split_and_a_range_of_rows_prune_the_dataset(spark):
+    from tallyloom.plans.catalog import split_rows
+    from tallyloom.plans import standins as D
+    from tallyloom.session import scratch_path
+    from tallyloom.sources import records as R
+    from tallyloom.sources import sinks as K
+
+    path = scratch_path(spark)
+    rows = D.methods(spark, SF).withColumn("dataset_split", D.split_of(F.col("row_ord")))
+    K.write_dataset(rows.repartition(1), path)
+    text = plan(split_rows(R.read_dataset(spark, path)))
+    assert re.search(r"PartitionFilters: \[[^\]]*dataset_split#\d+ = test", text)
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(row_ord", text)
+    assert "code_tokens" not in text
+    # Rows lie in order, so row groups cover narrow ranges.
+    test = spark.read.parquet(f"{path}/dataset_split=test").select("row_ord").collect()
+    assert [r.row_ord for r in test] == sorted(r.row_ord for r in test)

@@ -4,11 +4,12 @@ from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
+from tallyloom.operators.cleaning import flatten_one_level, step_report
 from tallyloom.operators.evaluation import Configuration
 from tallyloom.operators.ngrams import NGramModel
 from tallyloom.plans.experiment import run_experiment
 from tallyloom.plans.mining import mine
-from tallyloom.plans.preparation import prepare_dataset, prepare_methods
+from tallyloom.plans.preparation import prepare, prepare_dataset, prepare_methods
 from tallyloom.schema import DATASET, NODES
 from tallyloom.sources.records import read_dataset, read_records_jsonl
 
@@ -50,12 +51,16 @@ def test_mine_prepare_experiment(spark, tmp_path):
     licenses = spark.createDataFrame([("o/r0", "mit")], "owner_repo string, license_key string")
     records, dataset = str(tmp_path / "records"), str(tmp_path / "dataset")
     changes, file_nodes, method_nodes = files(spark)
+    # One file has no tree at all.
+    lost = changes.limit(1).withColumn("record_id", F.lit("f9")).withColumn("new_path", F.lit("src/Lost.java"))
+    changes = changes.unionByName(lost)
     # One method of the repository with more stars was never parsed: it does not count.
     parsed = method_nodes.where("record_id <> 'f1/10'")
     report = mine(repos, changes, file_nodes, parsed, licenses, datetime(2024, 2, 1), datetime(2024, 4, 1), records,
                   methods_to_mine=40, chunk_size=10, quarantine=str(tmp_path / "failed"))
     failed = spark.read.json(str(tmp_path / "failed")).collect()
-    assert [(r.record_id, r.node_id, r.bad_reason) for r in failed] == [("f1", 10, "missing n_ast_nodes")]
+    assert sorted((r.record_id, r.node_id or 0, r.bad_reason) for r in failed) == [
+        ("f1", 10, "missing n_ast_nodes"), ("f9", 0, "missing tree")]
     got = {r.repo_url and r.repo_url[-6:-4]: (r.methods, r.chunks) for r in report.collect()}
     assert got == {"r1": (23, 3), "r0": (17, 2), None: (40, None)}
 
@@ -67,6 +72,17 @@ def test_mine_prepare_experiment(spark, tmp_path):
 
     methods = prepare_methods(read)
     assert methods.where("method_signature = 'm3(int a)'").count() == methods.where("method_name = 'm3'").count() > 0
+    # The last line of one file is cut off, and one record has no id.
+    chunk = next((tmp_path / "records").glob("repo_dir=*/chunk=1"))
+    (chunk / "cut.json").write_text('{"dataset_split": "train", "id": null}\n\n{"dataset_split": "tr')
+    prepared = prepare(spark, records, dataset, 24, 6, layout="partitions", quarantine=str(tmp_path / "unusable"))
+    unusable = spark.read.json(str(tmp_path / "unusable")).collect()
+    assert {(r.bad_reason, r.source_file[-7:], r.line[-6:]) for r in unusable} == {
+        ("missing id", "ut.json", " null}"), ("unparseable", "ut.json", '": "tr')}
+    assert (prepared.lines_read, prepared.lines_quarantined) == (42, 2)
+    want = step_report(flatten_one_level(read))
+    assert sorted(map(tuple, prepared.step_report.collect())) == sorted(map(tuple, want.collect()))
+    (chunk / "cut.json").unlink()
     split = prepare_dataset(spark, records, dataset, 24, 6, layout="partitions")
     totals = split.agg(F.sum("train_rows"), F.sum("test_rows")).first()
     # Shares of 30 rows are rounded down: 17 of 23 and 12 of 17.
