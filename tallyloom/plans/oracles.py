@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ..functions import patterns as P
+from ..functions.naming import SOURCE_ROOTS
 from ..operators import evaluation as E
 from ..operators import generation as G
 from . import standins as D
@@ -42,13 +43,14 @@ def fraction(text: str) -> str:
 METHODS = f"""methods AS (
   SELECT CAST(doc_id AS VARCHAR) AS id, doc_id AS row_ord, ' ' || upper(source) || ' ' AS repo_name,
     'https://example.org/' || source || '.git' AS repo_url,
-    md5(CAST(doc_id AS VARCHAR)) AS repo_commit_sha,
-    '/src/main/java/' || lang || '\\D.java/' AS file_path,
+    CASE WHEN doc_id % {D.NO_COMMIT} > 0 THEN md5(CAST(doc_id AS VARCHAR)) END AS repo_commit_sha,
+    CASE doc_id % 3 WHEN 0 THEN '/src/' WHEN 1 THEN '/src/java/' ELSE '/src/main/java/' END || lang || '\\D.java/' AS file_path,
     regexp_extract(text, '({P.WORD})', 1) AS method_name,
     regexp_extract(text, '({P.WORD})', 1) || '(  args )' AS method_signature,
-    doc_id % 50 AS method_start_line, CAST(doc_id % 50 + {LINES} - 1 AS BIGINT) AS method_end_line,
+    doc_id % 50 AS method_start_line,
+    CAST(doc_id % 50 + CASE WHEN doc_id % {D.BACKWARDS} > 0 THEN {LINES} - 1 ELSE -1 END AS BIGINT) AS method_end_line,
     text AS method_original_code, {symbols('text')} AS code_tokens,
-    CAST(1 + {COMMAS} AS BIGINT) AS metrics_cyclomatic_complexity,
+    CAST(CASE WHEN doc_id % {D.UNPARSED} > 0 THEN 1 + {COMMAS} ELSE 0 END AS BIGINT) AS metrics_cyclomatic_complexity,
     CAST(1 + {nloc('text')} + {words('text')} AS BIGINT) AS metrics_n_ast_nodes,
     CAST({nloc('text')} AS BIGINT) AS metrics_nloc,
     CAST({words('text')} AS BIGINT) AS metrics_n_words,
@@ -177,7 +179,8 @@ def add(name: str, ctes: str, body: str, recursive: bool = False) -> None:
 
 # --- sources, sinks -----------------------------------------------------------------------
 
-REPOS = """repos AS (SELECT 'https://example.org/n' || c_nationkey || '/r' || c_custkey || '.git' AS clone_url,
+REPOS = f"""repos AS (SELECT CASE WHEN c_custkey % {D.SHORT_URL} > 0 THEN 'https://example.org/n' || c_nationkey || '/r' || c_custkey || '.git'
+    ELSE 'r' || c_custkey END AS clone_url,
   lower(c_mktsegment) AS language, floor(c_acctbal)::BIGINT AS stars, c_custkey % 7 = 0 AS fork,
   DATE '2024-01-01' + (c_custkey % 400)::INTEGER AS pushed_at, c_nationkey, c_custkey FROM customer)"""
 CHANGES = """changes AS (SELECT event_id, user_id, ts AS committed_ts,
@@ -200,14 +203,17 @@ add("s6_metric_columns", METHODS, " UNION ALL ".join(
     f"SELECT 'metrics_{m}' AS metric, sum(metrics_{m})::BIGINT AS total FROM methods"
     for m in ("cyclomatic_complexity", "n_ast_nodes", "nloc", "n_words", "n_whitespaces")))
 RECORD_ID = "repo_name || '@' || repo_commit_sha[1:7] || ':' || file_path || '#' || method_start_line || '-' || method_end_line"
-CLASS_NAME = "replace(replace(substr(file_path, instr(file_path, 'src/main/java/') + 14), '.java', ''), '/', '.')"
+BELOW_ROOT = "CASE " + " ".join(
+    f"WHEN contains(file_path, '{root}') THEN substr(file_path, instr(file_path, '{root}') + {len(root)})" for root in SOURCE_ROOTS
+) + " ELSE file_path END"
+CLASS_NAME = f"replace(replace({BELOW_ROOT}, '.java', ''), '/', '.')"
 EVEN = "len(method_name) % 2 = 0"
 add("k1_s3_records_round_trip", METHODS, f"""SELECT {RECORD_ID} AS id, 'example.org--' || regexp_extract(repo_url, '/([^/]*)\\.git$', 1) AS repo_dir,
-  ((row_number() OVER (PARTITION BY repo_url ORDER BY {RECORD_ID}) - 1) // {CHUNK} + 1)::BIGINT AS chunk,
+  ((row_number() OVER (PARTITION BY repo_url ORDER BY {RECORD_ID} NULLS FIRST) - 1) // {CHUNK} + 1)::BIGINT AS chunk,
   replace(repo_url, '.git', '') AS repo_url, method_original_code, len(code_tokens)::BIGINT AS n_tokens,
   metrics_nloc, NULL::VARCHAR AS repo_license FROM methods""")
 REASON = f"""CASE WHEN method_start_line % {CUT_OFF[0]} = {CUT_OFF[1]} THEN 'unparseable'
-  WHEN method_start_line % {NO_ID[0]} = {NO_ID[1]} THEN 'missing id' ELSE 'ok' END"""
+  WHEN method_start_line % {NO_ID[0]} = {NO_ID[1]} OR repo_commit_sha IS NULL THEN 'missing id' ELSE 'ok' END"""
 add("s3_f9_read_folders", f"{METHODS}, judged AS (SELECT *, {REASON} AS reason FROM methods)", f"""SELECT reason,
   'example.org--' || regexp_extract(repo_url, '/([^/]*)\\.git$', 1) AS folder, CASE WHEN reason = 'ok' THEN {RECORD_ID} END AS id,
   CASE WHEN reason <> 'unparseable' THEN method_start_line END AS start_line,
@@ -231,7 +237,7 @@ add("k2_s4_dataset_round_trip", STANDARD, """SELECT id, repo_name, method_name,
 # --- record shaping -----------------------------------------------------------------------
 
 add("p1_split_repo_url", REPOS, """SELECT clone_url, 'n' || c_nationkey AS owner, 'r' || c_custkey AS repo,
-  'n' || c_nationkey || '--r' || c_custkey AS repo_dir FROM repos""")
+  'n' || c_nationkey || '--r' || c_custkey AS repo_dir FROM repos WHERE clone_url LIKE '%/%'""")
 add("p2_clean_repo_url", REPOS, "SELECT clone_url, replace(clone_url, '.git', '') AS url FROM repos")
 add("p3_qualified_class_name", METHODS, f"SELECT id, {CLASS_NAME} AS class_name FROM methods")
 add("p4_record_id", METHODS, f"SELECT id, {RECORD_ID} AS record_id FROM methods")
@@ -273,7 +279,7 @@ add("clean_methods", CLEAN, "SELECT id, repo_name, file_path, method_signature F
 # --- joins --------------------------------------------------------------------------------
 
 add("j1_attach_license", REPOS, """SELECT clone_url AS repo_url, lower(n_name) AS license_key
-  FROM repos LEFT JOIN (SELECT * FROM nation WHERE n_regionkey < 3) ON c_nationkey = n_nationkey""")
+  FROM repos LEFT JOIN (SELECT * FROM nation WHERE n_regionkey < 3) ON c_nationkey = n_nationkey AND clone_url LIKE '%/%'""")
 
 # --- aggregations over trees and methods --------------------------------------------------
 

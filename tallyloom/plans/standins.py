@@ -18,6 +18,9 @@ from ..functions.randomness import seeded_hash
 LINE_IDS = 1 << 32
 # Whether a document is a test row: the first hex digit of its seeded hash.
 TEST_DIGITS = ("0", "1", "2")
+# Rows whose number these divide lack a commit hash, end before they start, were not analysed,
+# or are repositories with a short URL.
+NO_COMMIT, BACKWARDS, UNPARSED, SHORT_URL = 31, 29, 23, 37
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,7 +32,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def methods(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flat method rows before cleaning, one per document."""
+    """Flat method rows before cleaning, one per document; some fail each of the filters."""
     text, doc = F.col("text"), F.col("doc_id")
     first_word = F.regexp_extract(text, f"({P.WORD})", 1)
     lines = F.regexp_count(text, F.lit("\n")).cast("bigint") + 1
@@ -38,19 +41,24 @@ def methods(spark: SparkSession, sf_dir: str) -> DataFrame:
         doc.cast("string").alias("id"),
         F.concat(F.lit(" "), F.upper("source"), F.lit(" ")).alias("repo_name"),
         F.concat(F.lit("https://example.org/"), F.col("source"), F.lit(".git")).alias("repo_url"),
-        F.md5(doc.cast("string")).alias("repo_commit_sha"),
+        F.when(doc % NO_COMMIT > 0, F.md5(doc.cast("string"))).alias("repo_commit_sha"),
         F.lit(None).cast("string").alias("repo_license"),
-        F.concat(F.lit("/src/main/java/"), F.col("lang"), F.lit("\\D.java/")).alias("file_path"),
+        F.concat(
+            F.when(doc % 3 == 0, "/src/").when(doc % 3 == 1, "/src/java/").otherwise("/src/main/java/"),
+            F.col("lang"), F.lit("\\D.java/"),
+        ).alias("file_path"),
         F.lit("Java").alias("file_language"),
         first_word.alias("method_name"),
         F.concat(F.lit("D#"), first_word).alias("method_qualified_name"),
         (doc % 50).alias("method_start_line"),
-        (doc % 50 + lines - 1).alias("method_end_line"),
+        (doc % 50 + F.when(doc % BACKWARDS > 0, lines - 1).otherwise(F.lit(-1))).alias("method_end_line"),
         F.concat(first_word, F.lit("(  args )")).alias("method_signature"),
         text.alias("method_original_code"),
         F.lit("").alias("method_doc_comment"),
         X.split_words_and_symbols(text).alias("code_tokens"),
-        (F.regexp_count(text, F.lit(",")) + 1).cast("bigint").alias("metrics_cyclomatic_complexity"),
+        F.when(doc % UNPARSED > 0, F.regexp_count(text, F.lit(",")) + 1).otherwise(F.lit(0)).cast("bigint").alias(
+            "metrics_cyclomatic_complexity"
+        ),
         (1 + X.nloc(text) + X.n_words(text)).alias("metrics_n_ast_nodes"),
         X.nloc(text).alias("metrics_nloc"),
         X.n_words(text).alias("metrics_n_words"),
@@ -102,9 +110,10 @@ def repos(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as repositories of nations; market segments are languages."""
     key = F.col("c_custkey")
     return table(spark, sf_dir, "customer").select(
-        F.concat(
-            F.lit("https://example.org/n"), F.col("c_nationkey"), F.lit("/r"), key, F.lit(".git")
-        ).alias("clone_url"),
+        F.when(
+            key % SHORT_URL > 0,
+            F.concat(F.lit("https://example.org/n"), F.col("c_nationkey"), F.lit("/r"), key, F.lit(".git")),
+        ).otherwise(F.concat(F.lit("r"), key)).alias("clone_url"),
         F.lower("c_mktsegment").alias("language"),
         F.floor("c_acctbal").alias("stars"),
         (key % 7 == 0).alias("fork"),

@@ -24,12 +24,19 @@ def recommended(builder: SparkSession.Builder) -> SparkSession.Builder:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's checkpoint folder; where none is set, one inside the shared warehouse."""
+    """Use the cluster's checkpoint folder; where none is set, one inside the shared warehouse.
+
+    On a cluster that names neither, the default warehouse is a folder of the driver's machine,
+    which executors do not see: that is an error.
+    """
     context = spark.sparkContext
     if context.getCheckpointDir():
         return
-    warehouse = spark.conf.get("spark.sql.warehouse.dir")
-    context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"{warehouse}/checkpoints")
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    settings = context.getConf()
+    if not named and not settings.contains("spark.sql.warehouse.dir") and not settings.get("spark.master").startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir, or spark.sql.warehouse.dir, to a folder that all machines share")
+    context.setCheckpointDir(named or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints")
 
 
 def materialize(df: DataFrame) -> DataFrame:
