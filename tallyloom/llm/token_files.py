@@ -49,9 +49,9 @@ def _encoder(path: str) -> UnitEncoder:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
+    # As a plain call has it: the name of a special token inside a text is that token.  Names hold no
+    # white space, so the stretches that texts are cut into keep them whole.
     tokenizer = Tokenizer.from_file(path)
-    # Names of special tokens inside a text are ordinary text.
-    tokenizer.encode_special_tokens = True
 
     def encode(units):
         return [e.ids for e in tokenizer.encode_batch_fast(list(units), add_special_tokens=False)]

@@ -19,7 +19,7 @@ JSON = public_tokenizers.path("byte_bpe_50k.json")
 ODD = [
     "", " ", "  ", "   ", "a  b", "a   b", "a \n b", "\n\n x", "x \n", "x\n ", "a\n \nb", "a \n\n b", " lead", "trail ",
     "aaaa" * 300, "日本語" * 100 + " x", "don't you'll 'S\t\tfoo  bar  ", "123 456\r\n\r\n 7", "\x1c \x1f a\x85b\xa0c",
-    "<|endoftext|> hi", "😀😀 🎉‍", "　　 a", "é" * 500, "ab" * 400, "\x00 \x00",
+    "<|endoftext|> hi", "a<|endoftext|>b", "a <|endoftext|> <|endoftext|>, b.<|endoftext|>!", "x\n<|endoftext|>\ny  <|endoftext|> z", "😀😀 🎉‍", "　　 a", "é" * 500, "ab" * 400, "\x00 \x00",
 ]
 
 
@@ -34,9 +34,7 @@ def tiktoken_encoding():
 def huggingface():
     from tokenizers import Tokenizer
 
-    found = Tokenizer.from_file(JSON)
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(JSON)
 
 
 def split(ids, ends):
