@@ -210,7 +210,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS,
     text = F.coalesce("text", F.lit(""))
     room = F.greatest(F.length(text) - crop, F.lit(0))
     at = F.floor(room * F.conv(F.substring("draw", 1, 6), 16, 10).cast("double") / F.lit(float(2**24))).cast("int") + 1
-    return docs.join(sample, "doc_id").select("draw", text.substr(at, F.lit(crop)).alias("text"), "label")
+    # Other columns of the table may have any name.
+    return docs.select("doc_id", "text").join(sample, "doc_id").select("draw", text.substr(at, F.lit(crop)).alias("text"), "label")
 
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, crop: int = CROP) -> Weights:
