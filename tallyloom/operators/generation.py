@@ -191,39 +191,39 @@ def complete(
         return prompts.withColumn("completion", F.array().cast("array<string>")).withColumn(
             "steps", F.array().cast(f"array<{kind}>")
         )
+    # Expressions are the same in every step, so they are built once.
+    asked = [F.col(row_id), F.col("tail"), F.inline(backoff_tries(F.col("tail"), n))]
+    winner = [F.min_by("candidates", "level").alias("candidates"), F.any_value("tail").alias("tail")]
+    sampled = sample_next(F.col("candidates"), F.col("__draw")).alias("__token")
+    emitted = F.col("__token") != END
+    goes_on = F.coalesce(emitted & ~F.col("__token").isin(*STOP_TOKENS), F.lit(False))
+    made = [
+        F.col(row_id), F.when(emitted, F.col("__token")).alias("token"), F.col("candidates"), goes_on.alias("goes_on"),
+        F.when(goes_on, last(F.concat("tail", F.array("__token")))).alias("tail"),
+    ]
     with candidate_table(model, left * width) as candidates:
         for step in range(max_length):
-            tries = state.select(row_id, "tail", F.inline(backoff_tries(F.col("tail"), n)))
+            tries = state.select(*asked)
             found = look_up(candidates, tries)
             # A prompt asks for at most n-1 contexts, so the number of open ones bounds what is found.
             found = F.broadcast(found) if left * width <= BROADCAST_CONTEXTS else stored(found)
-            best = tries.join(found, "ctx").groupBy(row_id).agg(
-                F.min_by("candidates", "level").alias("candidates"), F.any_value("tail").alias("tail")
-            )
-            token = sample_next(F.col("candidates"), uniform(f"{seed}:step", F.lit(step), F.col(row_id)))
-            emitted = F.col("token").isNotNull() & (F.col("token") != END)
-            rows = (
-                best.withColumn("token", token)
-                .withColumn("token", F.when(emitted, F.col("token")))
-                .withColumn("goes_on", F.coalesce(~F.col("token").isin(*STOP_TOKENS), F.lit(False)))
-                .select(row_id, "token", "candidates", "goes_on",
-                        F.when(F.col("goes_on"), last(F.concat("tail", F.array("token")))).alias("tail"))
-            )
+            draw = uniform(f"{seed}:step", F.lit(step), F.col(row_id)).alias("__draw")
+            best = tries.join(found, "ctx").groupBy(row_id).agg(*winner).select(row_id, "candidates", "tail", draw)
+            rows = best.select(row_id, "candidates", "tail", sampled).select(*made)
             left = write(rows, F.col("goes_on"), f"steps/step={step}")
             if not left:
                 break
             written = spark.read.schema(rows.schema).parquet(f"{root}/steps/step={step}")
             state = written.where("goes_on").select(row_id, "tail")
     kinds = T.StructType([*rows.schema, T.StructField("step", T.IntegerType())])
-    made = spark.read.schema(kinds).parquet(f"{root}/steps")
+    steps = spark.read.schema(kinds).parquet(f"{root}/steps")
     every = F.sort_array(F.collect_list(F.struct("step", "token", "candidates")))
-    gathered = made.groupBy(row_id).agg(every.alias("__steps"))
+    gathered = steps.groupBy(row_id).agg(every.alias("__steps"))
     completed = prompts.join(gathered, row_id, "left")
-    steps = F.coalesce("__steps", F.array())
     return completed.withColumn("completion", F.filter(F.transform("__steps", lambda s: s["token"]), lambda t: t.isNotNull())).withColumns(
         {
             "completion": F.coalesce("completion", F.array().cast("array<string>")),
-            "steps": F.transform(steps, lambda s: s["candidates"]),
+            "steps": F.transform(F.coalesce("__steps", F.array()), lambda s: s["candidates"]),
         }
     ).drop("__steps")
 

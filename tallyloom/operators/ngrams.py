@@ -239,8 +239,9 @@ class FittedNGramModel:
         return smoothed_probability(c, ct, v, self.settings.smoothing, self.settings.k)
 
     def score(self, pairs: DataFrame) -> DataFrame:
-        """Probability ``p`` of ``nxt`` after ``ctx`` (already n-1 tokens long) for every row."""
-        looked_up = lookup_counts(pairs.withColumn("n", F.lit(self.n)), self.counts, self.totals)
+        """Probability ``p`` of ``nxt`` after ``ctx``, of which the last n-1 tokens count, for every row."""
+        fitted = pairs.withColumns({"n": F.lit(self.n), "ctx": fit_context(F.col("ctx"), self.n)})
+        looked_up = lookup_counts(fitted, self.counts, self.totals)
         return looked_up.withColumn("p", self.probability(F.col("c"), F.col("ct")))
 
     def candidates(self, k: int = 5) -> DataFrame:

@@ -300,3 +300,11 @@ def test_save_and_load(spark, tmp_path):
     model.save(str(tmp_path))
     loaded = N.FittedNGramModel.load(spark, str(tmp_path), model.settings)
     assert E.perplexity(model, df).first()[0] == pytest.approx(E.perplexity(loaded, df).first()[0])
+
+
+def test_score_fits_contexts(spark):
+    model = N.NGramModel(3).fit(table(spark, [["a", "b", "c"], ["a", "b", "d"]]))
+    pairs = spark.createDataFrame(
+        [(0, ["x", "y", "a", "b"], "c"), (1, ["a", "b"], "c"), (2, ["a"], "b"), (3, [], "a")], "i int, ctx array<string>, nxt string")
+    got = {r.i: (r.ctx, r.c, r.ct) for r in model.score(pairs).collect()}
+    assert got == {0: (["a", "b"], 1, 2), 1: (["a", "b"], 1, 2), 2: (["<START>", "a"], 2, 2), 3: (["<START>"] * 2, 2, 2)}
