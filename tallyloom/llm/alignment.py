@@ -29,7 +29,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 from typing import NamedTuple
 
@@ -43,17 +43,19 @@ from ..session import stored
 from .pretokens import UnitEncoder, slices
 
 # A lane has about so many tokens of A; lanes of a slice advance together.
-LANE = 1024
-SLICE_CHARS = 3_000_000
-CACHE_UNITS = 250_000
+LANE = 256
+SLICE_CHARS = 300_000
+CACHE_UNITS = 150_000
+# Stretches given to a library in one call: its answers are large while they are held.
+CALL_UNITS = 4096
 _SPACE = "▁"
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 
 
 class Side(NamedTuple):
-    """A tokenizer: ids of texts, and every id's bytes, flat and by where they end."""
+    """A tokenizer: ids of stretches, and every id's bytes, flat and by where they end."""
 
-    encode: UnitEncoder
+    encode: Callable[[Sequence[str]], Iterator[list[int]]]
     data: np.ndarray
     ends: np.ndarray
 
@@ -78,6 +80,11 @@ def _byte_level() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + n): b for n, b in enumerate(others)}
 
 
+def _calls(units: Sequence[str]) -> Iterator[list[str]]:
+    for first in range(0, len(units), CALL_UNITS):
+        yield list(units[first : first + CALL_UNITS])
+
+
 def byte_side(path: str) -> Side:
     """A byte-level BPE file; encodes a text after a space."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -93,9 +100,10 @@ def byte_side(path: str) -> Side:
     ]
 
     def encode(units):
-        return [e.ids for e in tokenizer.encode_batch_fast(list(units), add_special_tokens=False)]
+        for call in _calls(units):
+            yield from [e.ids for e in tokenizer.encode_batch_fast(call, add_special_tokens=False)]
 
-    return Side(UnitEncoder(encode, lambda text: [text], CACHE_UNITS), *_flat(tokens))
+    return Side(encode, *_flat(tokens))
 
 
 def piece_side(path: str) -> Side:
@@ -117,14 +125,12 @@ def piece_side(path: str) -> Side:
     space = [model.piece_to_id(_SPACE)]
 
     def encode(units):
-        spaced = [unit[1:] if unit.startswith(" ") else "\n" + unit for unit in units]
-        found = model.encode(spaced, num_threads=1)
-        return [
-            space if unit == " " else ids if unit.startswith(" ") else ids[len(newline) :]
-            for unit, ids in zip(units, found)
-        ]
+        for call in _calls(units):
+            found = model.encode([u[1:] if u.startswith(" ") else "\n" + u for u in call], num_threads=1)
+            for unit, ids in zip(call, found):
+                yield space if unit == " " else ids if unit.startswith(" ") else ids[len(newline) :]
 
-    return Side(UnitEncoder(encode, lambda text: [text], CACHE_UNITS), *_flat(tokens))
+    return Side(encode, *_flat(tokens))
 
 
 def aligned(ends_a: np.ndarray, ends_b: np.ndarray, docs_a: np.ndarray, docs_b: np.ndarray, lane: int = LANE):
@@ -183,6 +189,8 @@ class Pair:
 
     def __init__(self, path_a: str, path_b: str):
         self.a, self.b = byte_side(path_a), piece_side(path_b)
+        # One store of stretches for both: ids of B are kept as their complements, which are negative.
+        self._units = UnitEncoder(self._both, lambda text: [text], CACHE_UNITS)
         # Strings of group lists: an id and what stands after it, at id for a comma, then for a bar or semicolon.
         self._shown = [
             f"{i}{mark}"
@@ -191,11 +199,18 @@ class Pair:
             for i in range(len(side.ends) - 1)
         ]
 
+    def _both(self, units: Sequence[str]) -> Iterator[list[int]]:
+        for a, b in zip(self.a.encode(units), self.b.encode(units)):
+            yield [*a, *(~i for i in b)]
+
     def align(self, texts: Sequence[str | None]) -> list[tuple]:
         """Per text its ids of A, ids of B, places of linked tokens of A, and of B."""
         spaced = [f" {t}" if t else "" for t in texts]
-        ids_a, docs_a = self.a.encode(spaced)
-        ids_b, docs_b = self.b.encode(spaced)
+        mixed, ends = self._units(spaced)
+        of_b = mixed < 0
+        ids_a, ids_b = mixed[~of_b], ~mixed[of_b]
+        docs_b = np.concatenate([[0], np.cumsum(of_b)])[ends]
+        docs_a = ends - docs_b
         ids_a, docs_a, ids_b, docs_b = self._same(spaced, ids_a, docs_a, ids_b, docs_b)
         ends_a, ends_b = np.cumsum(self.a.lengths(ids_a)), np.cumsum(self.b.lengths(ids_b))
         links_a, links_b = aligned(ends_a, ends_b, docs_a, docs_b)
