@@ -32,7 +32,8 @@ SYMBOLS = "#*$%&|<>"
 SENTENCE_END = r"[.!?\x{2026}\x{3002}][)\]\x{22}\x{27}\x{bb}\x{201d}]*(?:[\x20\x09-\x0D]|\z)"
 SHOUT = r"[!?][\x20\x09-\x0D]|[!?]\z"
 SEPARATOR = r"(?:\A|[\x20\x09-\x0D])[|>/\x{bb}\x{b7}\x{2022}](?:[\x20\x09-\x0D]|\z)"
-SYMBOL_WORD = r"[^\x20\x09-\x0D#*$%&<>{}]*[#*$%&<>{}][^\x20\x09-\x0D]*"
+# A word is tried from its start only, and never again with a shorter part of it: linear in long words.
+SYMBOL_WORD = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D#*$%&<>{}]*+[#*$%&<>{}]"
 FURNITURE = (
     r"(?i)lorem ipsum|enable javascript|cookie policy|privacy policy|terms of (?:use|service)"
     r"|all rights reserved|click here|sign in|log in|skip to (?:main )?content|subscribe to our"

@@ -27,11 +27,13 @@ def python_pattern(pattern):
 def line_fails(line):
     count = lambda p: len(re.findall(python_pattern(p), line))
     words = len(words_of(line))
-    furniture = re.search(python_pattern(quality.FURNITURE), line)
+    letter = r"[^\W_]"
+    phrase = f"(?i)(?<!{letter})(?:{quality.FURNITURE.removeprefix('(?i)')})(?!{letter})"
+    furniture = sum(len(words_of(m[0])) for m in re.finditer(phrase, line))
     return words > 0 and (
         not count(quality.SENTENCE_END) or count(quality.SHOUT) * 2 > words
         or (count(quality.SEPARATOR) >= 2 and count(quality.SEPARATOR) * 3 >= words)
-        or furniture is not None or count(quality.SYMBOL_WORD) * 10 >= words * 3
+        or (furniture > 0 and furniture * 10 >= words * 3) or count(quality.SYMBOL_WORD) * 10 >= words * 3
     )
 
 

@@ -181,3 +181,33 @@ def test_furniture_is_whole_words_and_a_share_of_the_line(spark):
     table = spark.createDataFrame([(x,) for x in lines], "line string")
     found = table.select("line", quality.line_fails(F.col("line")).alias("fails")).collect()
     assert {r["line"]: r["fails"] for r in found} == lines
+
+
+def test_the_sql_and_the_plain_program_fail_the_same_lines(spark):
+    import duckdb
+
+    from tallyloom.llm import oracles
+
+    from .test_pipeline import line_fails
+
+    lines = [
+        "All rights reserved.", "Sign in, log in, sign in.", "sign in log in click here.", "He said: sign in now or go away today.",
+        "The privacy policy of the company was not part of the contract between them.", "A design in blue.", "(sign in).",
+        "a$b c d.", "a$b$ c.", "$$$ d e f.", "x" * 50 + "#" + "y" * 50 + ".", "#", "", "cookie policy|privacy policy.",
+    ]
+    table = spark.createDataFrame([(x,) for x in lines], "l string")
+    found = {r["l"]: r["fails"] for r in table.select("l", quality.line_fails(F.col("l")).alias("fails")).collect()}
+    db = duckdb.connect()
+    sql = {x: db.execute(f"SELECT {oracles._fails('l')} FROM (SELECT ?::VARCHAR AS l)", [x]).fetchone()[0] for x in lines}
+    assert found == sql == {x: line_fails(x) for x in lines}
+    assert found["sign in log in click here."] and not found[lines[3]] and not found[lines[4]]
+
+
+def test_a_word_of_a_million_letters_takes_seconds(spark):
+    import time
+
+    rows = [(1, "x" * 1_000_000 + ".", "a"), (2, "." * 1_000_000, "a"), (3, "a$" * 500_000 + " and more.", "a")]
+    started = time.monotonic()
+    found = cases.plain(quality.judge(cases.table(spark, rows)).select("doc_id", "n_words", "n_bad_lines", "kept"))
+    assert time.monotonic() - started < 10
+    assert found == [(1, 1, 0, False), (2, 1, 0, False), (3, 3, 1, False)]
