@@ -8,7 +8,12 @@ one step where the new token cannot take part in a merge of lower rank, because
 time gives the same.  Decoding: ids join the vocabulary and bytes are aggregated by position.
 
 A query works on a bounded number of rows times steps; words that need more go on from where
-they are, so neither long words nor long texts need more memory.
+they are.  Words of more than ``LONG`` bytes are contracted piece by piece and joined pairwise:
+around each joint the last tokens of one part and the first of the next are contracted together,
+and stand if they begin and end with the tokens that are there already.  A row of tokens is the
+encoding of its bytes if every two neighbours are the encoding of theirs, so that is exact; a
+joint that does not agree takes in twice as many tokens.  So long words and long texts need no
+more memory, but for words that agree nowhere: those widen DuckDB's limit in proportion.
 
 Defined cases: null and empty texts have no ids and decode to no bytes; repeated rows are rows
 of their own; only the named columns are read, so other columns may have any name.
@@ -29,12 +34,19 @@ from .pretokens import UnitEncoder, id_lists, slices
 
 # Words up to so many bytes keep their tokens in one list; longer ones in one row per token.
 SHORT = 48
+# Words of more bytes are cut into pieces of ``PIECE`` bytes, joints begin with ``REACH`` tokens a side.
+LONG = 4096
+PIECE = 32
+REACH = 6
 # Workers keep what they hold for the next task, beside whatever that needs: all of it stays small.
 CACHE_UNITS = 300_000
 SLICE_CHARS = 1_000_000
 # Rows a recursive query may produce, and rows one decoding query reads.
 QUERY_ROWS = 200_000
 DECODE_ROWS = 100_000
+# DuckDB's memory, and bytes for each row that a contraction starts with.
+MEMORY_MB = 200
+WIDE_ROW = 1024
 # Fixed value: what the rank files' pattern calls white space.
 _SPACE = r"\t-\r\x20\x85\xa0  -     　"
 
@@ -125,8 +137,9 @@ class BytePairs:
 
         self._ranks, self._rows = read_ranks(path), query_rows
         self._pattern = regex.compile(pattern.replace(r"[^\s", f"[^{_SPACE}").replace(r"\s", f"[{_SPACE}]").replace(r"\S", f"[^{_SPACE}]"))
+        self._bytes = {rank: token for token, rank in self._ranks.items()}
         self._byte = np.array([self._ranks[bytes([b])] for b in range(256)], np.int32)
-        self._db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "200MB", "temp_directory": ""})
+        self._db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": f"{MEMORY_MB}MB", "temp_directory": ""})
         merges = merge_table(self._ranks)  # noqa: F841  DuckDB reads it by name
         self._db.execute("CREATE TABLE merges AS SELECT * FROM merges")
         vocabulary = pa.table(  # noqa: F841
@@ -148,6 +161,14 @@ class BytePairs:
 
     def _encode_words(self, words: list[bytes]) -> list[list[int]]:
         found = [[self._ranks[w]] if w in self._ranks else None for w in words]
+        for number, word in enumerate(words):
+            if found[number] is None and len(word) > LONG:
+                found[number] = self._join_pieces(word)
+        self._contract(words, found)
+        return found
+
+    def _contract(self, words: list[bytes], found: list) -> None:
+        """Ids of every word that has none yet."""
         for merge, chosen in ((self._merge_short, True), (self._merge, False)):
             batch, held = [], 0
             for number, word in enumerate(words):
@@ -158,7 +179,32 @@ class BytePairs:
                         merge(batch, words, found)
                         batch, held = [], 0
             merge(batch, words, found)
-        return found
+
+    def _contract_once(self, words: list[bytes]) -> list[list[int]]:
+        different = list(dict.fromkeys(words))
+        found: list = [None] * len(different)
+        self._contract(different, found)
+        ids = dict(zip(different, found))
+        return [ids[w] for w in words]
+
+    def _join_pieces(self, word: bytes) -> list[int]:
+        pieces = [word[a : a + PIECE] for a in range(0, len(word), PIECE)]
+        parts = self._contract_once(pieces)
+        while len(parts) > 1:
+            joints = list(zip(parts[::2], parts[1::2]))
+            joined: list = [None] * len(joints)
+            reach = REACH
+            while None in joined:
+                todo = [j for j, done in enumerate(joined) if done is None]
+                around = [joints[j][0][-reach:] + joints[j][1][:reach] for j in todo]
+                made = self._contract_once([b"".join(map(self._bytes.__getitem__, ids)) for ids in around])
+                for j, ids in zip(todo, made):
+                    a, b = joints[j]
+                    if (len(a) <= reach or ids[0] == a[-reach]) and (len(b) <= reach or ids[-1] == b[reach - 1]):
+                        joined[j] = a[:-reach] + ids + b[reach:]
+                reach *= 2
+            parts = joined + parts[2 * len(joints) :]
+        return parts[0]
 
     def _merge_short(self, batch: list[int], words: list[bytes], found: list) -> None:
         if not batch:
@@ -175,6 +221,7 @@ class BytePairs:
         if not batch:
             return
         lengths = np.array([len(words[n]) for n in batch])
+        self._db.execute(f"SET memory_limit = '{max(MEMORY_MB, int(lengths.sum()) * WIDE_ROW // 2**20)}MB'")
         word = np.repeat(np.array(batch, np.int32), lengths)
         pos = np.arange(len(word), dtype=np.int64)
         token = self._byte[np.frombuffer(b"".join(words[n] for n in batch), np.uint8)]

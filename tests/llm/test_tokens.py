@@ -75,6 +75,19 @@ def test_long_words_contract_like_one_pair_at_a_time():
     assert pairs._encode_words(words) == [one_at_a_time(pairs._ranks, w) for w in words]
 
 
+def test_words_of_megabytes_are_joined_from_pieces(tiktoken_encoding):
+    pairs = bpe.BytePairs(RANKS, public_tokenizers.PATTERN)
+    random = np.random.default_rng(5)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"))
+    texts = [
+        "".join(random.choice(letters, 200_000)), "the" * 20_000, "a" * 20_001, "=" * 30_011, "ab" * 6_007 + "Б" * 5_003,
+        "日本語文章" * 4_000, "".join(random.choice(list("aab"), 30_000)), "x" * 5_000_000,
+    ]
+    assert pairs.encode(texts) == [tiktoken_encoding.encode_ordinary(t) for t in texts]
+    ids = np.array(pairs.encode(texts[-1:])[0], np.int32)
+    assert pairs.decode(ids, np.array([len(ids)])) == [texts[-1].encode()]
+
+
 def test_cache_may_be_emptied_at_any_time(huggingface):
     from tallyloom.llm.pretokens import UnitEncoder
 
