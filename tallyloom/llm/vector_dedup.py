@@ -2,13 +2,14 @@
 
 1. Vectors are scaled to length one; equal vectors of a label fall into one class.
 2. Every label's classes are dealt into shards by hash; each shard becomes one navigable
-   small-world graph, stored as a row of arrays.
-3. Every vector queries every shard of its label.  An audit scans hashed queries in full until
-   ``evidence`` of them have a link to another vector; beams are doubled for all queries of a
-   shard until at least ``recall`` of those links, and of those queries' whole link sets, are
-   found; and for single queries whose beam is full of links.  Where the queries run out first,
-   all of them have been scanned and the scan is the answer.  A query whose beam would reach an
-   eighth of the shard scans the shard instead, so nothing is cut off.
+   small-world graph, stored as a row of arrays, and is audited as it is built.  An audit takes
+   a hashed sample of the shard and asks for each vector itself and for the vector turned by
+   some degrees, so that every turned one has a link however rare links are.  The beam doubles
+   until ``recall`` of the links that a full scan of the sample finds, and of the queries' whole
+   link sets, are found.
+3. Every vector queries every shard of its label with that shard's beam; single queries whose
+   beam is full of links widen it.  A query whose beam would reach an eighth of the shard scans
+   the shard instead, so nothing is cut off.  Shards without links cost a walk per query.
 4. Candidates are verified in double precision.  Two shards ask each other in one task, and a
    link found from either end counts once at both.  Each task returns link counts and the root
    of the links it saw per class, never pairs; roots are united to components.
@@ -38,14 +39,14 @@ THRESHOLD = 0.98
 # Vectors of a shard; its graph is about 600 bytes a vector at 64 dimensions.
 SHARD = 8192
 BEAM = 16
-# Queries of the audit's first step, and how many queries with links it has to see.
-AUDIT = 64
-EVIDENCE = 1000
+# Vectors of a shard that its audit turns and asks for, and how many it asks for at once.
+AUDIT = 1000
+_ASKED = 128
 RECALL = 0.999
 # Candidates are taken this much below the threshold: graphs hold single precision.
 _SLACK = 1e-4
 
-_UNIT_SCHEMA = "vec_id long, label int, dims int, node string, unit array<double>"
+_UNIT_SCHEMA = "vec_id long, label string, dims int, node string, unit array<double>"
 
 
 def units(vectors: DataFrame) -> DataFrame:
@@ -77,7 +78,7 @@ def units(vectors: DataFrame) -> DataFrame:
             )
 
     plain = vectors.select(
-        F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("int").alias("label"),
+        F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"),
         F.col("embedding").cast("array<double>").alias("embedding"),
     )
     return plain.mapInArrow(run, _UNIT_SCHEMA)
@@ -87,20 +88,23 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(x, np.float64) for x in column])
 
 
-_GRAPH_SCHEMA = "label int, dims int, shard int, members array<string>, graph binary"
+_GRAPH_SCHEMA = (
+    "label string, dims int, shard int, members array<string>, graph binary, beam int, audited long, found long"
+)
 
 
-def _build(group: pd.DataFrame) -> pd.DataFrame:
+def _build(group: pd.DataFrame, threshold: float = THRESHOLD, beam: int = BEAM, recall: float = RECALL, audit: int = AUDIT) -> pd.DataFrame:
     group = group.sort_values("node", kind="stable")
     x = _matrix(group["unit"])
     graph = SmallWorld(x)
+    beam, audited, found = audited_beam(graph, x, threshold, beam, recall, audit)
     head = [graph.entry, len(graph.levels), *[level.shape[1] for level in graph.levels]]
     blob = np.array(head, np.int32).tobytes() + b"".join(level.tobytes() for level in graph.levels) + x.tobytes()
     first = group.iloc[0]
     return pd.DataFrame(
         {
             "label": [first["label"]], "dims": [first["dims"]], "shard": [first["shard"]],
-            "members": [group["node"].tolist()], "graph": [blob],
+            "members": [group["node"].tolist()], "graph": [blob], "beam": [beam], "audited": [audited], "found": [found],
         }
     )
 
@@ -119,27 +123,24 @@ def _load(members: int, dims: int, blob: bytes) -> tuple[SmallWorld, np.ndarray]
     return graph, x
 
 
+def scan(x: np.ndarray, queries: np.ndarray, rows: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """(query, member) of all links of the queries at ``rows``, by comparing them with every member."""
+    found = [np.nonzero(queries[rows[a : a + 512]] @ x.T >= threshold) for a in range(0, len(rows), 512)]
+    q = [rows[a * 512 + hit[0]] for a, hit in enumerate(found)]
+    return np.concatenate([np.zeros(0, int), *q]), np.concatenate([np.zeros(0, int), *[hit[1] for hit in found]])
+
+
 def find_links(
-    graph: SmallWorld, x: np.ndarray, queries: np.ndarray, threshold: float, beam: int, recall: float, audit: int,
-    evidence: int = EVIDENCE, own: bool = False,
+    graph: SmallWorld, x: np.ndarray, queries: np.ndarray, threshold: float, beam: int, own: bool = False
 ) -> tuple[np.ndarray, np.ndarray]:
-    """(query, member) of all links found.
+    """(query, member) of the links found by walking the graph with a beam.
 
-    Full scans of ``audit`` queries, then of twice as many, go on until ``evidence`` queries with
-    a link have been seen.  ``own``: queries are the members themselves, and none links with itself.
+    ``own``: queries are the members themselves, and none links with itself.
     """
 
-    def scan(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        found = [np.nonzero(queries[rows[a : a + 512]] @ x.T >= threshold) for a in range(0, len(rows), 512)]
-        q = [rows[a * 512 + hit[0]] for a, hit in enumerate(found)]
-        return others(np.concatenate([np.zeros(0, int), *q]), np.concatenate([np.zeros(0, int), *[hit[1] for hit in found]]))
-
-    def others(q: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return (q[q != m], m[q != m]) if own else (q, m)
-
     def look(rows: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
         if width * 8 >= len(x):
-            return scan(rows)
+            return scan(x, queries, rows, threshold)
         ids, sims = graph.search(queries[rows], width)
         # A beam whose every entry is near enough may have cut links off.
         full = (sims >= threshold - _SLACK).all(axis=1)
@@ -147,33 +148,46 @@ def find_links(
         q, m = rows[np.nonzero(near)[0]], ids[near]
         sure = np.einsum("nd,nd->n", queries[q], x[m]) >= threshold
         wider = look(rows[full], width * 8) if full.any() else (np.zeros(0, int), np.zeros(0, int))
-        return others(np.concatenate([q[sure], wider[0]]), np.concatenate([m[sure], wider[1]]))
+        return np.concatenate([q[sure], wider[0]]), np.concatenate([m[sure], wider[1]])
+
+    q, m = look(np.arange(len(queries)), beam)
+    return (q[q != m], m[q != m]) if own else (q, m)
+
 
+def probes(x: np.ndarray, threshold: float, audit: int) -> np.ndarray:
+    """Vectors drawn by hash, and the same ones turned until their cosine is a quarter above the threshold."""
+    random = np.random.default_rng(len(x))
     # Names are digests, so any order drawn without looking at vectors gives a random sample.
-    order = np.random.default_rng(len(queries)).permutation(len(queries))
-    truth_q, truth_m = np.zeros(0, int), np.zeros(0, int)
-    done, step = 0, max(audit, 1)
-    while done < len(order) and len(np.unique(truth_q)) < evidence:
-        q, m = scan(order[done : done + step])
-        truth_q, truth_m = np.concatenate([truth_q, q]), np.concatenate([truth_m, m])
-        done, step = min(done + step, len(order)), step * 2
-    sample, rest = order[:done], order[done:]
-    truth = truth_q * len(x) + truth_m
-    while len(rest):
-        q, m = look(sample, beam)
-        hit = np.isin(truth, q * len(x) + m)
-        linked, whole = np.unique(truth_q), np.setdiff1d(truth_q, truth_q[~hit])
-        if hit.sum() >= recall * len(truth) and len(whole) >= recall * len(linked):
-            q, m = look(rest, beam)
-            return np.concatenate([truth_q, q]), np.concatenate([truth_m, m])
+    drawn = x[random.permutation(len(x))[:audit]]
+    aside = random.normal(size=drawn.shape)
+    aside -= np.einsum("nd,nd->n", aside, drawn)[:, None] * drawn
+    length = np.sqrt(np.einsum("nd,nd->n", aside, aside))[:, None]
+    cosine = threshold + (1 - threshold) / 4
+    # In one dimension there is no way aside, and the vector stays.
+    turned = np.where(length > 1e-9, cosine * drawn + np.sqrt(1 - cosine * cosine) * aside / np.maximum(length, 1e-9), drawn)
+    return np.concatenate([drawn, turned])
+
+
+def audited_beam(graph: SmallWorld, x: np.ndarray, threshold: float, beam: int, recall: float, audit: int) -> tuple[int, int, int]:
+    """The beam that finds enough, how many links the audit's scan found, and how many that beam found."""
+    queries = probes(x, threshold, audit)
+    blocks = [queries[a : a + _ASKED] for a in range(0, len(queries), _ASKED)]
+    # What a walk finds is verified, so counts per query tell how much it misses.
+    counted = lambda links: [np.bincount(links(b)[0], minlength=len(b)) for b in blocks]
+    truth = np.concatenate(counted(lambda b: scan(x, b, np.arange(len(b)), threshold)))
+    while True:
+        hit = np.concatenate(counted(lambda b: find_links(graph, x, b, threshold, beam)))
+        linked = truth > 0
+        enough = hit.sum() >= recall * truth.sum() and (hit == truth)[linked].sum() >= recall * linked.sum()
+        if enough or beam * 8 >= len(x):
+            return beam, int(truth.sum()), int(hit.sum())
         beam *= 2
-    return truth_q, truth_m
 
 
 _LINK_SCHEMA = "node string, links long, root string"
 
 
-def _query(threshold: float, beam: int, recall: float, audit: int, evidence: int):
+def _query(threshold: float):
     def run(shards: pd.DataFrame) -> pd.DataFrame:
         nothing = pd.DataFrame({"node": pd.Series([], dtype=str), "links": pd.Series([], dtype="int64"), "root": pd.Series([], dtype=str)})
         first = shards.iloc[0]
@@ -184,10 +198,11 @@ def _query(threshold: float, beam: int, recall: float, audit: int, evidence: int
         sides = [_load(len(m), int(d), g) for m, d, g in zip(shards["members"], shards["dims"], shards["graph"])]
         (graph, x), (other_graph, other_x) = sides[0], sides[-1]
         own = len(sides) == 1
-        ask = lambda g, v, queries: find_links(g, v, queries, threshold, beam, recall, audit, evidence, own)
-        a, b = ask(other_graph, other_x, x)
+        beams = shards["beam"].tolist()
+        ask = lambda g, v, queries, beam: find_links(g, v, queries, threshold, beam, own)
+        a, b = ask(other_graph, other_x, x, beams[-1])
         if not own:
-            back_b, back_a = ask(graph, x, other_x)
+            back_b, back_a = ask(graph, x, other_x, beams[0])
             a, b = np.concatenate([a, back_a]), np.concatenate([b, back_b]) + len(x)
         if not len(a):
             return nothing
@@ -219,7 +234,6 @@ def _query(threshold: float, beam: int, recall: float, audit: int, evidence: int
 
 def near_vectors(
     vectors: DataFrame, threshold: float = THRESHOLD, shard: int = SHARD, beam: int = BEAM, recall: float = RECALL, audit: int = AUDIT,
-    evidence: int = EVIDENCE,
 ) -> DataFrame:
     """One row per vector: ``vec_id``, ``n_links``, ``component_id`` (smallest id reachable), ``kept``."""
     all_units = stored(units(vectors))
@@ -233,7 +247,9 @@ def near_vectors(
         classes.join(sizes, ["label", "dims"]).withColumn("shard", F.pmod(F.xxhash64("node"), "shards").cast("int"))
     )
     graphs = stored(
-        dealt.select("label", "dims", "shard", "node", "unit").groupBy("label", "dims", "shard").applyInPandas(_build, _GRAPH_SCHEMA)
+        dealt.select("label", "dims", "shard", "node", "unit").groupBy("label", "dims", "shard").applyInPandas(
+            lambda group: _build(group, threshold, beam, recall, audit), _GRAPH_SCHEMA
+        )
     )
     counts = dealt.groupBy("label", "dims", "shard").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("node", "copies"))), lambda x: x["copies"]).alias("copies")
@@ -241,11 +257,11 @@ def near_vectors(
     # Graphs hold their vectors, so a pair of shards needs nothing else.
     other = F.explode(F.sequence(F.lit(0), F.col("shards") - 1))
     paired = graphs.join(counts, ["label", "dims", "shard"]).join(sizes, ["label", "dims"]).withColumn("other", other).select(
-        "label", "dims", "shard", "members", "graph", "copies",
+        "label", "dims", "shard", "members", "graph", "beam", "copies",
         F.least("shard", "other").alias("low"), F.greatest("shard", "other").alias("high"),
     )
     linked = stored(
-        paired.groupBy("label", "dims", "low", "high").applyInPandas(_query(threshold, beam, recall, audit, evidence), _LINK_SCHEMA)
+        paired.groupBy("label", "dims", "low", "high").applyInPandas(_query(threshold), _LINK_SCHEMA)
     )
     roots = components(linked, "node", "root").select(F.col("node").alias("__node"), "root")
     sums = linked.groupBy("node").agg(F.sum("links").alias("links")).select(F.col("node").alias("__linked"), "links")

@@ -184,34 +184,69 @@ class Blind:
         return ids, sims
 
 
-def test_audit_needs_evidence():
-    rng = np.random.default_rng(6)
-    x = rng.normal(size=(1500, 32))
-    x /= np.linalg.norm(x, axis=1)[:, None]
-    # Three queries of 1,500 have a link: a sample of 64 is likely to see none of them.
-    queries = rng.normal(size=(1500, 32))
+def sphere(rng, *shape):
+    x = rng.normal(size=shape)
+    return x / np.linalg.norm(x, axis=-1)[..., None]
+
+
+def test_audits_see_links_where_the_table_has_none():
+    x = sphere(np.random.default_rng(6), 1500, 32)
+    probes = vector_dedup.probes(x, 0.98, 200)
+    assert np.allclose(np.linalg.norm(probes, axis=1), 1)
+    assert ((probes[200:] * probes[:200]).sum(axis=1) >= 0.98).all()
+    # A graph that finds nothing is found out, and the shard is scanned.
+    beam, audited, found = vector_dedup.audited_beam(Blind(), x, 0.98, 16, 0.999, 200)
+    assert beam * 8 >= len(x) and audited == found >= 400
+    queries = sphere(np.random.default_rng(7), 1500, 32)
     queries[[101, 702, 1303]] = x[[5, 6, 7]]
-    queries /= np.linalg.norm(queries, axis=1)[:, None]
-    q, m = vector_dedup.find_links(Blind(), x, queries, 0.98, 16, 0.999, 64)
+    q, m = vector_dedup.find_links(Blind(), x, queries, 0.98, beam)
     assert sorted(zip(q.tolist(), m.tolist())) == [(101, 5), (702, 6), (1303, 7)]
+    # One dimension leaves no way aside.
+    assert (vector_dedup.probes(np.array([[1.0], [-1.0]]), 0.98, 5) ** 2 == 1).all()
 
 
-def test_links_to_oneself_are_no_evidence():
-    rng = np.random.default_rng(7)
-    x = rng.normal(size=(1500, 32))
+def test_none_links_with_itself():
+    x = sphere(np.random.default_rng(7), 1500, 32)
     x[1400] = x[3]
-    x /= np.linalg.norm(x, axis=1)[:, None]
+    graph = SmallWorld(x)
+    q, m = vector_dedup.find_links(graph, x, x, 0.98, 16, own=True)
+    assert sorted(zip(q.tolist(), m.tolist())) == [(3, 1400), (1400, 3)]
 
-    class Own(Blind):
-        def search(self, queries, beam):
-            ids, sims = super().search(queries, beam)
-            ids[:, 0], sims[:, 0] = np.argmax(queries @ x.T, axis=1), 1.0
-            return ids, sims
 
-    q, m = vector_dedup.find_links(Own(), x, x, 0.98, 16, 0.999, 64)
-    assert {(3, 1400), (1400, 3)} <= set(zip(q.tolist(), m.tolist()))
-    q, m = vector_dedup.find_links(Own(), x, x, 0.98, 16, 0.999, 64, own=True)
-    assert sorted(zip(q.tolist(), m.tolist())) == [(3, 1400), (1400, 3)]
+def test_graphs_answer_where_links_are_few(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    x = sphere(rng, 4500, 32)
+    copies = rng.permutation(4500)[:240].reshape(2, 120)
+    x[copies[1]] = x[copies[0]] + 0.01 * rng.normal(size=(120, 32))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    truth = x @ x.T >= 0.98
+    np.fill_diagonal(truth, False)
+    assert 200 <= truth.sum() <= 400
+
+    # In the tasks of one label: three shards, every pair of them asked both ways.
+    place, graphs = rng.integers(0, 3, 4500), {}
+    for s in range(3):
+        rows = np.flatnonzero(place == s)
+        group = pd.DataFrame({"node": [f"{i:05}" for i in rows], "unit": list(x[rows]), "label": "a", "dims": 32, "shard": s})
+        graphs[s] = vector_dedup._build(group).assign(copies=[[1] * len(rows)])
+    walked, scanned = [], []
+    search, scan = SmallWorld.search, vector_dedup.scan
+    monkeypatch.setattr(SmallWorld, "search", lambda self, queries, beam: (walked.append(len(queries)), search(self, queries, beam))[1])
+    monkeypatch.setattr(vector_dedup, "scan", lambda x, queries, rows, t: (scanned.append(len(rows)), scan(x, queries, rows, t))[1])
+    n_links = Counter()
+    for low in range(3):
+        for high in range(low, 3):
+            pair = pd.concat([graphs[low]] + [graphs[high]] * (low != high)).assign(low=low, high=high)
+            for node, links, _ in vector_dedup._query(0.98)(pair).itertuples(index=False):
+                n_links[int(node)] += links
+    assert sum(walked) == 3 * 4500 and sum(scanned) <= 0.05 * sum(walked)
+    assert [n_links[i] for i in range(4500)] == truth.sum(axis=1).tolist()
+    assert sum(g["found"].item() for g in graphs.values()) >= 0.999 * sum(g["audited"].item() for g in graphs.values())
+
+    monkeypatch.undo()
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(x)]
+    found = cases.plain(vector_dedup.near_vectors(make(spark, rows), shard=1500))
+    assert [r[1] for r in sorted(found)] == truth.sum(axis=1).tolist()
 
 
 def test_links_between_shards_count_at_both_ends(monkeypatch):
@@ -231,7 +266,7 @@ def test_links_between_shards_count_at_both_ends(monkeypatch):
         return (q, m) if len(asked) == 1 else (q[:0], m[:0])
 
     monkeypatch.setattr(vector_dedup, "find_links", from_one_end)
-    found = vector_dedup._query(0.98, 16, 0.999, 64, 1000)(pd.concat(rows))
+    found = vector_dedup._query(0.98)(pd.concat(rows))
     assert asked == [1, 1]
     assert found.values.tolist() == [["007-0", 3, "007-0"], ["040-1", 2, "007-0"]]
 
