@@ -172,12 +172,13 @@ def url_filters_sql() -> str:
     keep, rest = U.DAMPING_PERCENT, 100 - U.DAMPING_PERCENT
     rounds = "".join(
         f""",
-  r{i + 1} AS (SELECT host, sum(trust)::BIGINT AS trust, sum(distrust)::BIGINT AS distrust FROM (
-      SELECT arcs.dst AS host, trust * t // {U.MILLION} * {keep} // 100 AS trust, distrust * d // {U.MILLION} * {keep} // 100 AS distrust
+  r{i + 1} AS MATERIALIZED (SELECT host, sum(trust)::HUGEINT AS trust, sum(distrust)::HUGEINT AS distrust FROM (
+      SELECT arcs.dst AS host, (trust * {keep} // 100) * t // n AS trust, (distrust * {keep} // 100) * d // n AS distrust
       FROM arcs JOIN r{i} ON r{i}.host = arcs.src
       UNION ALL SELECT host, trust * {rest} // 100, distrust * {rest} // 100 FROM r0) GROUP BY host)"""
         for i in range(U.ROUNDS)
     )
+    share = f"{U.SCALE // 100}::HUGEINT"
     return f"""WITH placed AS (SELECT page_id, html, coalesce({_host('url')}, '') AS host,
       coalesce(regexp_extract(CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END, '^[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
   ruled AS (SELECT *, {rule} AS rule, {verdict} AS rule_verdict FROM placed),
@@ -190,12 +191,14 @@ def url_filters_sql() -> str:
       UNION ALL SELECT host, parent FROM parents UNION ALL SELECT parent, host FROM parents)
     WHERE src <> '' AND dst <> '' AND src <> dst GROUP BY src, dst),
   shared AS (SELECT *, sum(weight) OVER (PARTITION BY src) AS o, sum(weight) OVER (PARTITION BY dst) AS b FROM edges),
-  arcs AS (SELECT src, dst, (weight * {U.MILLION} // o)::BIGINT AS t, 0::BIGINT AS d FROM shared
-    UNION ALL SELECT dst, src, 0, (weight * {U.MILLION} // b)::BIGINT FROM shared),
-  r0 AS (SELECT host, CASE WHEN sum(allowed) OVER () > 0 THEN ({U.SCALE}::HUGEINT * allowed // sum(allowed) OVER ())::BIGINT ELSE 0 END AS trust,
-    CASE WHEN sum(blocked) OVER () > 0 THEN ({U.SCALE}::HUGEINT * blocked // sum(blocked) OVER ())::BIGINT ELSE 0 END AS distrust FROM seeds){rounds}
+  arcs AS MATERIALIZED (SELECT src, dst, weight::HUGEINT AS t, 0::HUGEINT AS d, o::HUGEINT AS n FROM shared
+    UNION ALL SELECT dst, src, 0, weight, b FROM shared),
+  r0 AS MATERIALIZED (SELECT host,
+    CASE WHEN sum(allowed) OVER () > 0 THEN {share} * allowed // sum(allowed) OVER () * 100 ELSE 0 END::HUGEINT AS trust,
+    CASE WHEN sum(blocked) OVER () > 0 THEN {share} * blocked // sum(blocked) OVER () * 100 ELSE 0 END::HUGEINT AS distrust FROM seeds){rounds}
 SELECT page_id, host, path, rule, coalesce(rule_verdict, CASE WHEN coalesce(distrust, 0) > coalesce(trust, 0) THEN 'block' ELSE 'allow' END) AS verdict,
-  coalesce(trust, 0) AS trust, coalesce(distrust, 0) AS distrust FROM ruled LEFT JOIN r{U.ROUNDS} USING (host)"""
+  (coalesce(trust, 0) // {U.SCALE // U.REPORTED}::HUGEINT)::BIGINT AS trust, (coalesce(distrust, 0) // {U.SCALE // U.REPORTED}::HUGEINT)::BIGINT AS distrust
+FROM ruled LEFT JOIN r{U.ROUNDS} USING (host)"""
 
 
 OP3 = url_filters_sql()

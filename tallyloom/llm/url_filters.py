@@ -8,9 +8,10 @@ least).  Personalised PageRank carries trust forwards from trusted seeds, and di
 from blocked ones; a host with more distrust than trust is blocked.
 
 Ranks are whole numbers out of ``SCALE``, so sums do not depend on the order in which tasks
-finish.  A host of up to ``PPM_LINKS`` links gives shares in whole parts per million, where none
-is below 1,000; one of more gives rank * weight / links, rounded down once, so no link of a hub
-has a share of nothing.  There are at least ``ROUNDS`` rounds, and more while they reach new hosts.
+finish: a host's rank is damped and every link passes on rank * weight / links, each rounded down.  Each round
+shrinks what the ranks still lack by the damping; ``ROUNDS`` is the number after which that is
+below ``RESIDUAL`` of all trust, whatever the graph.  ``trust`` and ``distrust`` are
+reported out of ``REPORTED``.
 
 Defined cases: a url that is null or has no ``://`` has an empty host and path, no rule, and is
 allowed; null html has no links; unknown hosts have no trust and no distrust and are allowed;
@@ -19,7 +20,9 @@ rows repeat as they come; only ``page_id``, ``url`` and ``html`` are read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,11 +33,12 @@ from ..session import stored
 RULES = (
     ("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"),
 )
-SCALE = 10**12
-MILLION = 10**6
+# A rank of 24 digits times a weight of 12 stays within 38 digits.
+SCALE = 10**24
+REPORTED = 10**12
 DAMPING_PERCENT = 85
-ROUNDS = 16
-PPM_LINKS = 1000
+RESIDUAL = 0.01
+ROUNDS = math.ceil(math.log(RESIDUAL) / math.log(DAMPING_PERCENT / 100))
 
 LINK = r"(?i)\bhref[\x20\x09-\x0D]*=[\x20\x09-\x0D]*[\x22\x27]?([a-z][a-z0-9+.-]*://[^\x22\x27>\x20\x09-\x0D]*|//[^\x22\x27>\x20\x09-\x0D]*)"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -81,54 +85,50 @@ def host_edges(pages: DataFrame, hosts: DataFrame) -> DataFrame:
     return linked.unionByName(both).where(real).groupBy("src", "dst").agg(F.count(F.lit(1)).alias("weight"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: int = DAMPING_PERCENT) -> DataFrame:
-    """(host, trust, distrust) from seeds (host, allowed, blocked) over ``edges``.
+def quotient(dividend: Column, divisor: Column) -> Column:
+    """Whole part of a quotient of whole decimals, exact at 38 digits; nothing is lost to rounding."""
+    return ((dividend - dividend % divisor) / divisor).cast("decimal(38,0)")
+
 
-    After ``rounds`` rounds, further ones follow until one reaches no host anew.
+def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: int = DAMPING_PERCENT) -> DataFrame:
+    """(host, trust, distrust) out of ``SCALE`` from seeds (host, allowed, blocked) over ``edges``.
 
     Every round joins ranks with arcs and sums per target; its result is written out, so
     plans stay short and a round survives lost executors.  A hub's arcs are split at the join.
     """
-    total = F.broadcast(seeds.agg(F.sum("allowed").alias("all_allowed"), F.sum("blocked").alias("all_blocked")))
-    part = lambda c, t: F.when(F.col(t) > 0, F.floor(F.lit(SCALE).cast("decimal(38,0)") * F.col(c) / F.col(t)).cast("long")).otherwise(F.lit(0).cast("long"))
-    # One row of totals joins every seed.
+    total = seeds.agg(F.sum("allowed").alias("all_allowed"), F.sum("blocked").alias("all_blocked"))
+    count = lambda c: F.col(c).cast("decimal(12,0)")
+    rank = lambda c: F.col(c).cast("decimal(25,0)")
+    none = F.lit(0).cast("decimal(38,0)")
+    parts = F.lit(100).cast("decimal(12,0)")
+    share = lambda c: F.coalesce(F.lit(Decimal(SCALE // 100)).cast("decimal(25,0)") * count(c), none)
+    whole = lambda t: total.select(count(t)).scalar()
+    part = lambda c, t: F.when(whole(t) > 0, quotient(share(c), whole(t)) * F.lit(100).cast("decimal(3,0)")).otherwise(none)
     base = stored(
-        seeds.withColumn("__one", F.lit(1)).join(total.withColumn("__one", F.lit(1)), "__one")
-        .select("host", part("allowed", "all_allowed").alias("trust"), part("blocked", "all_blocked").alias("distrust"))
+        seeds.select("host", part("allowed", "all_allowed").alias("trust"), part("blocked", "all_blocked").alias("distrust"))
     )
     out = edges.groupBy("src").agg(F.sum("weight").alias("out"))
     back = edges.groupBy("dst").agg(F.sum("weight").alias("back"))
     shared = edges.join(out, "src").join(back, "dst")
-    # A share is ``t`` of ``t_of``.
-    few = lambda t: F.col(t) <= PPM_LINKS
-    share = lambda t: F.when(few(t), F.expr(f"weight * {MILLION} div {t}")).otherwise(F.col("weight"))
-    whole = lambda t: F.when(few(t), F.lit(MILLION).cast("long")).otherwise(F.col(t))
-    none, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    nothing = F.lit(0).cast("long")
+    # A link carries ``t`` of the ``of`` links that pass on trust, or ``d`` of those that pass on distrust.
     arcs = stored(
         shared.select(
-            F.col("src").alias("host"), F.col("dst").alias("to"),
-            share("out").alias("t"), whole("out").alias("t_of"), none.alias("d"), one.alias("d_of"),
+            F.col("src").alias("host"), F.col("dst").alias("to"), F.col("weight").alias("t"), nothing.alias("d"), F.col("out").alias("of")
         ).unionByName(shared.select(
-            F.col("dst").alias("host"), F.col("src").alias("to"),
-            none.alias("t"), one.alias("t_of"), share("back").alias("d"), whole("back").alias("d_of"),
+            F.col("dst").alias("host"), F.col("src").alias("to"), nothing.alias("t"), F.col("weight").alias("d"), F.col("back").alias("of")
         ))
     )
-    start = lambda c: F.expr(f"{c} * {100 - damping} div 100").alias(c)
-    # A rank times the links of a hub can pass 64 bits.
-    part_of = lambda c, p: f"cast({c} as decimal(19,0)) * cast({p} as decimal(18,0)) div {p}_of"
-    flow = lambda c, p: F.expr(f"({part_of(c, p)}) * {damping} div 100").alias(c)
-    restart = base.select("host", start("trust"), start("distrust"))
-    reached = lambda r: sum(r.agg(F.count_if(F.col("trust") > 0), F.count_if(F.col("distrust") > 0)).first())
-    ranks, done = base, 0
-    before = hosts = reached(base) if rounds <= 1 else 0
-    while done < rounds or hosts > before:
-        moved = arcs.join(ranks, "host").select(F.col("to").alias("host"), flow("trust", "t"), flow("distrust", "d"))
-        ranks = stored(
-            moved.unionByName(restart).groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust"))
-        )
-        done += 1
-        # Counted from the last round but one.
-        before, hosts = hosts, reached(ranks) if done >= rounds - 1 else 0
+    percent = lambda c, p: quotient(rank(c) * F.lit(p).cast("decimal(12,0)"), parts).alias(c)
+    restart = stored(base.select("host", percent("trust", 100 - damping), percent("distrust", 100 - damping)))
+    damped = lambda c: percent(c, damping)
+    passed = lambda c, w: quotient(rank(c) * count(w), count("of")).alias(c)
+    total_of = lambda c: F.sum(c).cast("decimal(38,0)").alias(c)
+    ranks = base
+    for _ in range(rounds):
+        ready = ranks.select("host", damped("trust"), damped("distrust"))
+        moved = arcs.join(ready, "host").select(F.col("to").alias("host"), passed("trust", "t"), passed("distrust", "d"))
+        ranks = stored(moved.unionByName(restart).groupBy("host").agg(total_of("trust"), total_of("distrust")))
     return ranks
 
 
@@ -143,9 +143,11 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, rounds: in
     )
     edges = stored(host_edges(pages.select("url", "html"), seeds))
     ranks = propagate(edges, seeds, rounds)
-    none = F.lit(0).cast("long")
+    none = F.lit(0).cast("decimal(38,0)")
     judged = ruled.join(ranks, "host", "left").withColumns(
         {"trust": F.coalesce("trust", none), "distrust": F.coalesce("distrust", none)}
     )
+    unit = F.lit(SCALE // REPORTED).cast("decimal(13,0)")
+    reported = lambda c: quotient(F.col(c), unit).cast("long").alias(c)
     verdict = F.coalesce("rule_verdict", F.when(F.col("distrust") > F.col("trust"), "block").otherwise("allow"))
-    return judged.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "trust", "distrust")
+    return judged.select("page_id", "host", "path", "rule", verdict.alias("verdict"), reported("trust"), reported("distrust"))

@@ -166,21 +166,21 @@ def test_rules(spark):
 
 
 def plain_ranks(edges, seeds, rounds, damping):
-    million, scale = url_filters.MILLION, url_filters.SCALE
+    scale = url_filters.SCALE // 100
     out, back = Counter(), Counter()
     for (s, d), w in edges.items():
         out[s] += w
         back[d] += w
     allowed, blocked = sum(a for a, _ in seeds.values()), sum(b for _, b in seeds.values())
-    base = {h: [scale * a // allowed if allowed else 0, scale * b // blocked if blocked else 0] for h, (a, b) in seeds.items()}
+    base = {h: [scale * a // allowed * 100 if allowed else 0, scale * b // blocked * 100 if blocked else 0] for h, (a, b) in seeds.items()}
     ranks = dict(base)
     for _ in range(rounds):
         new = {h: [t * (100 - damping) // 100, d * (100 - damping) // 100] for h, (t, d) in base.items()}
         for (s, d), w in edges.items():
             if s in ranks:
-                new.setdefault(d, [0, 0])[0] += ranks[s][0] * (w * million // out[s]) // million * damping // 100
+                new.setdefault(d, [0, 0])[0] += ranks[s][0] * damping // 100 * w // out[s]
             if d in ranks:
-                new.setdefault(s, [0, 0])[1] += ranks[d][1] * (w * million // back[d]) // million * damping // 100
+                new.setdefault(s, [0, 0])[1] += ranks[d][1] * damping // 100 * w // back[d]
         ranks = new
     return ranks
 
@@ -208,7 +208,8 @@ def test_trust_and_distrust_flow_over_links(spark):
     hosts = {r["host"] for r in found if r["host"]}
     seeds = {h: (int(h == "good.com"), int(h == "bad.net")) for h in hosts}
     want = plain_ranks(edges, seeds, url_filters.ROUNDS, url_filters.DAMPING_PERCENT)
-    assert {r["host"]: [r["trust"], r["distrust"]] for r in found if r["host"]} == {h: want[h] for h in hosts}
+    unit = url_filters.SCALE // url_filters.REPORTED
+    assert {r["host"]: [r["trust"], r["distrust"]] for r in found if r["host"]} == {h: [x // unit for x in want[h]] for h in hosts}
 
 
 def test_empty_pages(spark):
@@ -218,26 +219,57 @@ def test_empty_pages(spark):
     assert sorted((r["src"], r["dst"], r["weight"]) for r in edges) == [("a.b.c.org", "b.c.org", 1), ("b.c.org", "a.b.c.org", 1)]
 
 
-def test_hubs_pass_on_every_share(spark):
-    links = 3_000_000
-    edges = [("hub.com", "large.com", links - 2), ("hub.com", "a.com", 1), ("hub.com", "b.com", 1), ("c.com", "hub.com", 1), ("large.com", "hub.com", links)]
+def ranked(spark, edges, seeds, **options):
     ranks = url_filters.propagate(
-        spark.createDataFrame(edges, "src string, dst string, weight long"),
-        spark.createDataFrame([("hub.com", 1, 0), ("a.com", 0, 1)], "host string, allowed long, blocked long"),
-        rounds=1,
+        spark.createDataFrame([(*e, w) for e, w in edges.items()], "src string, dst string, weight long"),
+        spark.createDataFrame([(h, *n) for h, n in seeds.items()], "host string, allowed long, blocked long"), **options,
     )
-    found = {r["host"]: r for r in ranks.collect()}
-    # Further rounds follow the first; the least a hub's single link carries is its restart.
-    assert found["a.com"]["trust"] >= url_filters.SCALE * 15 // 100 // links * 85 // 100 > 0
-    assert found["a.com"]["trust"] == found["b.com"]["trust"]
-    assert found["hub.com"]["distrust"] > 0 and found["c.com"]["distrust"] > 0
+    return {r["host"]: [int(r["trust"]), int(r["distrust"])] for r in ranks.collect()}
 
 
-def test_rounds_go_on_until_no_host_is_new(spark):
+def test_hubs_pass_on_every_share(spark):
+    links = 3_000_000
+    edges = {
+        ("hub.com", "large.com"): links - 2, ("hub.com", "a.com"): 1, ("hub.com", "b.com"): 1, ("c.com", "hub.com"): 1,
+        ("large.com", "hub.com"): links,
+    }
+    seeds = {"hub.com": (1, 0), "a.com": (0, 1)}
+    found = ranked(spark, edges, seeds, rounds=3)
+    assert found == plain_ranks(edges, seeds, 3, url_filters.DAMPING_PERCENT)
+    assert found["a.com"][0] == found["b.com"][0] > 0 and found["c.com"][1] > 0
+
+
+def test_trust_of_a_small_seed_in_a_large_web_goes_on(spark):
+    # Ten of 10^9 allowed pages, fifty links a host: trust is there on the third hop.
+    name = "h{}.com".format
+    edges = {(name(k), name(f"{k + 1}-{i}" if i else k + 1)): 1 for k in range(4) for i in range(50)}
+    seeds = {name(0): (10, 0), "rest.com": (10**9 - 10, 3)}
+    found = ranked(spark, edges, seeds, rounds=5)
+    assert found == plain_ranks(edges, seeds, 5, url_filters.DAMPING_PERCENT)
+    exact = url_filters.SCALE * 1e-8 * 0.15
+    for hop in range(1, 4):
+        exact *= 0.85 / 50
+        assert found[name(hop)][0] == pytest.approx(exact, rel=1e-6) and exact > 0
+
+
+def test_rounds_leave_less_than_the_residual(spark):
     name = "h{:02}.com".format
-    edges = [(name(i), name(i + 1), 1) for i in range(24)]
-    ranks = url_filters.propagate(
-        spark.createDataFrame(edges, "src string, dst string, weight long"),
-        spark.createDataFrame([(name(0), 1, 0)], "host string, allowed long, blocked long"),
-    )
-    assert {r["host"] for r in ranks.collect() if r["trust"] > 0} == {name(i) for i in range(25)}
+    edges = {(name(i), name((i + 1) % 30)): 1 for i in range(30)}
+    seeds = {name(0): (1, 0)}
+    found = ranked(spark, edges, seeds)
+    settled = plain_ranks(edges, seeds, 300, url_filters.DAMPING_PERCENT)
+    assert found == plain_ranks(edges, seeds, url_filters.ROUNDS, url_filters.DAMPING_PERCENT)
+    assert sum(abs(found[h][0] - settled[h][0]) for h in settled) <= 2 * url_filters.RESIDUAL * url_filters.SCALE
+
+
+def test_totals_meet_seeds_without_a_cross_join(spark, monkeypatch):
+    plans = []
+
+    def kept(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df)
+
+    stored = url_filters.stored
+    monkeypatch.setattr(url_filters, "stored", kept)
+    ranked(spark, {("a.com", "b.com"): 1}, {"a.com": (1, 0), "b.com": (0, 1)}, rounds=2)
+    assert len(plans) == 5 and not any("NestedLoop" in p or "Cartesian" in p for p in plans)
