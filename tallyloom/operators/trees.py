@@ -110,7 +110,8 @@ def record_facts(
                 F.sort_array(F.collect_list(F.when(F.col("is_leaf"), F.struct(*place, "text")))), lambda x: x["text"]
             ).alias("code_tokens"),
         ]
-    return table.groupBy("record_id").agg(*facts).withColumn(
+    # Nodes move before they are gathered: a task that gathers many records first sorts and spills its nodes.
+    return table.repartition("record_id").groupBy("record_id").agg(*facts).withColumn(
         "cyclomatic_complexity",
         F.when(F.col("has_code"), 1 + F.col("branches") + F.col("short_circuits")).otherwise(F.lit(0)),
     )
