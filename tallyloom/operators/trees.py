@@ -173,6 +173,8 @@ def extract_declarations(nodes: DataFrame) -> DataFrame:
             F.when(own, code).alias("__code"), F.when(kind == PARAMETERS, child).alias("__parameters"),
             F.when(kind == IDENTIFIER, child).alias("__name"),
         )
+        # As in record_facts: what a task would gather first it would sort and spill.
+        .repartition("record_id", "node_id")
         .groupBy("record_id", "node_id")
         .agg(
             F.any_value("__code", True).alias("__code"), F.max("__parameters").alias("__parameters"),
