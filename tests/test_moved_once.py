@@ -1,5 +1,6 @@
 """What a model's counts and windows need to move: once by context, and only where they are asked for."""
 
+from tallyloom.operators import incremental as I
 from tallyloom.operators import ngrams as N
 
 SCHEMA = "row_ord bigint, code_tokens array<string>"
@@ -13,3 +14,25 @@ def token_rows(spark, seed=3):
 def test_contexts_travel_as_96_bits(spark):
     fingerprints = N.fingerprints(token_rows(spark), [3, 5])
     assert [fingerprints.schema[c].dataType.simpleString() for c in ("a", "b")] == ["bigint", "int"]
+
+
+def test_a_batch_is_written_once(spark, monkeypatch):
+    kept = []
+    monkeypatch.setattr(I, "stored", lambda df, stored=I.stored: kept.append(df.columns) or stored(df))
+    batch = I.train_batch(N.NGramModel(3), token_rows(spark))
+    try:
+        # The counts themselves are only in the bucketed table.
+        assert kept == [["token"], ["sketch"]]
+        got = batch.counts.select("n", "ctx", "nxt", "c", "first_seen").collect()
+        wanted = N.count_ngrams(N.extract_ngrams(token_rows(spark), 3, keep=["row_ord"])).collect()
+        assert sorted(got, key=repr) == sorted(wanted, key=repr)
+    finally:
+        batch.forget()
+
+
+def test_an_empty_batch_is_a_model(spark):
+    batch = I.train_batch(N.NGramModel(3), token_rows(spark).limit(0))
+    try:
+        assert batch.counts.count() == 0
+    finally:
+        batch.forget()
