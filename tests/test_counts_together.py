@@ -64,6 +64,21 @@ def test_a_head_moves_only_its_own_windows(spark):
     assert "LeftSemi" in found._jdf.queryExecution().executedPlan().toString()
 
 
+def test_a_head_of_long_rows_asks_only_about_positions_within(spark, monkeypatch):
+    monkeypatch.setattr(E, "MAX_BROADCAST_ROWS", 50)
+    train = odd_rows(spark, 3, 60)
+    test = spark.createDataFrame([(i, [ODD[(i + j) % len(ODD)] for j in range(40)]) for i in range(9)], SCHEMA)
+    asked, fitted = E.fit_for(N.NGramModel(5), train, test), N.NGramModel(5).fit(train)
+    found = E.topk_accuracy(asked, test, 5, max_positions=10)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # Windows are counted in the tasks before they move, so nothing is gathered by context alone.
+    assert "LeftSemi" in plan and "REPARTITION_BY_COL" not in plan
+    assert found.first() == E.topk_accuracy(fitted, test, 5, max_positions=10).first() and found.first().total_predictions > 0
+    # With longer contexts none of the ten positions counts.
+    longer = E.fit_for(N.NGramModel(11), train, test)
+    assert E.topk_accuracy(longer, test, 5, max_positions=10).first().total_predictions == 0
+
+
 def test_nodes_move_before_they_are_gathered(spark):
     nodes = spark.createDataFrame(
         [("r", 0, None, 0, 1, "program", "a b", False), ("r", 1, 0, 0, 2, "identifier", "a", True)],
