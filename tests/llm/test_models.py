@@ -138,6 +138,32 @@ def test_scan_cases(spark):
     assert licenses.scan(cases.empty(spark)).count() == 0
 
 
+def test_every_ordinary_paragraph_is_learned_from_or_calibrated_on(spark):
+    lines = ["Any copy of the work, as is.", "of the general public (free of charge) and or of the", "日本語 the. on an \"as is\" basis", "nothing"]
+    docs = [(i if i % 9 else None, f"{lines[i % 4]}\n \n{lines[i % 3]}\nunder the MIT license", "a") for i in range(600)]
+    prose = licenses.ordinary(cases.table(spark, [*docs, (5, None, "a"), (5, "", "a")]))
+    assert prose.count() == 1200
+    known = licenses.with_grams(licenses.templates(spark)).select(F.explode("grams").alias("g")).distinct()
+    vocabulary = sorted(r["g"] for r in known.collect())
+    want = Counter()
+    for r in licenses.with_grams(prose).collect():
+        want[r["draw"][0] >= "8", tuple(sorted(set(r["grams"]) & set(vocabulary)))] += 1
+    got = {(r["held_out"], tuple(r["grams"])): r["n"] for r in licenses.profiles(prose, vocabulary).collect()}
+    assert got == dict(want) and {held_out for held_out, _ in got} == {True, False}
+
+
+def test_the_level_counts_every_held_out_paragraph(spark):
+    # Ordinary words that read like a family's, in a few documents among very many.
+    close = "this work is free and unencumbered software released into the domain"
+    docs = [(i, "plain words about hills" if i % 60 else close, "a") for i in range(1200)]
+    model, least = licenses.train(cases.table(spark, docs))
+    without, lowest = licenses.train(cases.table(spark, [d for d in docs if d[1] != close]))
+    assert lowest == licenses.LEAST_PROBABILITY <= least <= 0.95
+    held_out = licenses.ordinary(cases.table(spark, docs)).where("substring(draw, 1, 1) >= '8'")
+    best = licenses.classify(held_out.select("paragraph"), model, 0.0).agg(F.max("probability")).first()[0]
+    assert least == pytest.approx(max(0.5, min(0.95, best)), abs=1e-6)
+
+
 URLS = [
     ("http://A.Example.COM/en/x?q#f", "a.example.com", "/en/x", "example.com/en/", "block"),
     ("https://www.example.com/en/y", "www.example.com", "/en/y", "www.example.com/en/", "allow"),
