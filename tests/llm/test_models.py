@@ -299,3 +299,13 @@ def test_totals_meet_seeds_without_a_cross_join(spark, monkeypatch):
     monkeypatch.setattr(url_filters, "stored", kept)
     ranked(spark, {("a.com", "b.com"): 1}, {"a.com": (1, 0), "b.com": (0, 1)}, rounds=2)
     assert len(plans) == 5 and not any("NestedLoop" in p or "Cartesian" in p for p in plans)
+
+
+def test_paragraphs_without_an_anchor_are_scored(spark):
+    line = "source and binary forms with or without modification are permitted provided that the following conditions are met"
+    assert not spark.createDataFrame([(line,)], "paragraph string").where(F.col("paragraph").rlike(licenses.ANCHOR)).count()
+    # Equal rows are rows of their own, and each has its licence once.
+    docs = [(1, f"a word\n{line}", "a"), (1, f"a word\n{line}", "a"), (2, "nothing of that kind here", "a")]
+    found = licenses.scan(cases.table(spark, docs)).collect()
+    got = sorted((r["doc_id"], r["n_candidates"], r["n_confirmed"], tuple(r["families"]), r["spans"] and r["spans"][0]["line"]) for r in found)
+    assert got == [(1, 0, 1, ("bsd",), 1), (1, 0, 1, ("bsd",), 1), (2, 0, 0, (), None)]
